@@ -28,7 +28,5 @@ def quantile_label(df: DataFrame, category: str = "search_position", value: str
     threshold table is small and keeps a shuffle join otherwise.
     """
     thr = category_thresholds(fit_on if fit_on is not None else df, category, value, q)
-    return (df.join(thr, category, "left")
-            .withColumn(label, F.when(F.col(value) > F.col("cat_threshold"), F.lit(1))
-                        .otherwise(F.lit(0)).cast("int"))
-            .drop("cat_threshold"))
+    flag = F.when(F.col(value) > F.col("cat_threshold"), F.lit(1)).otherwise(F.lit(0)).cast("int")
+    return df.join(thr, category, "left").select(*df.columns, flag.alias(label))

@@ -30,10 +30,13 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], descen
     through a broadcast of that bounded table.
     """
     spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), 64)
     probs = [i / float(n) for i in range(1, n)] or [0.5]
     bounds = df.agg(F.percentile_approx(F.col(order_col), probs, 10000)).scalar()
-    bucket = F.size(F.filter(bounds, lambda b: b < F.col(order_col)))
+    # Bucket index = number of quantile bounds below the value (n-1 compares).
+    bucket = F.lit(0)
+    for i in range(len(probs)):
+        bucket = bucket + (F.get(bounds, i) < F.col(order_col)).cast("int")
     tagged = df.withColumn("__b", bucket)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     local_w = (Window.partitionBy("__b").orderBy(order)
@@ -92,8 +95,8 @@ def per_class_metrics(pred: DataFrame, label: str = "label",
     conf = confusion(pred, label, prediction, "n")
     long = conf.select(
         F.stack(F.lit(2),
-                F.col(label).cast("double"), F.col("n"), F.lit(0),
-                F.col(prediction).cast("double"), F.lit(0), F.col("n")).alias("class", "actual", "predicted"),
+                F.col(label).cast("double"), F.col("n"), F.lit(0).cast("long"),
+                F.col(prediction).cast("double"), F.lit(0).cast("long"), F.col("n")).alias("class", "actual", "predicted"),
         (F.col(label).cast("double") == F.col(prediction).cast("double")).alias("hit"), "n")
     per = long.groupBy("class").agg(
         F.sum("actual").alias("support"),

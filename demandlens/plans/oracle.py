@@ -229,3 +229,171 @@ def oracle_sql() -> dict[str, str]:
     """Full statements: the shared CTE prefix plus each query's body."""
     # A body that starts with "," adds its own CTEs after the shared ones.
     return {key: PREFIX + body.strip() for key, body in BODIES.items()}
+
+
+# --- ML set and metric oracles --------------------------------------------------------------
+
+_HEX = "'0123456789abcdef'"
+_BUCKET = (f"(strpos({_HEX}, substr(md5(concat_ws('|', search_country, search_position, '42')), 1, 1)) * 16"
+           f" + strpos({_HEX}, substr(md5(concat_ws('|', search_country, search_position, '42')), 2, 1)) - 17)")
+
+ML_CTES = f"""
+, fx_keys AS (
+  SELECT * REPLACE (trim(lower(search_country)) AS search_country,
+                    trim(lower(search_position)) AS search_position)
+  FROM fx_enriched WHERE search_country IS NOT NULL AND search_position IS NOT NULL
+),
+fx_base AS (
+  SELECT search_country, search_position, count(*) AS group_count,
+    count(DISTINCT company) AS distinct_companies, count(DISTINCT job_level) AS distinct_job_levels,
+    count(DISTINCT job_type) AS distinct_job_types,
+    avg(CASE WHEN got_summary = 1 THEN 1.0::double ELSE 0.0::double END) AS summary_coverage
+  FROM fx_keys GROUP BY search_country, search_position
+),
+fx_group_skills AS (
+  SELECT search_country, search_position, count(DISTINCT skill) AS distinct_skills
+  FROM (SELECT search_country, search_position,
+          trim(lower(unnest(string_split(job_skills, ',')))) AS skill
+        FROM fx_keys WHERE job_skills IS NOT NULL) x
+  WHERE skill <> '' GROUP BY search_country, search_position
+),
+fx_groups AS (
+  SELECT b.*, coalesce(s.distinct_skills, 0) AS distinct_skills
+  FROM fx_base b LEFT JOIN fx_group_skills s
+    ON b.search_country = s.search_country AND b.search_position = s.search_position
+),
+fx_ratios AS (
+  SELECT *, cast(distinct_skills AS double) / greatest(cast(group_count AS double), 1.0) AS skills_per_posting,
+    cast(distinct_companies AS double) / greatest(cast(group_count AS double), 1.0) AS companies_per_posting
+  FROM fx_groups WHERE group_count >= 5
+),
+fx_thr AS (
+  SELECT search_position, quantile_disc(group_count, 0.75) AS thr FROM fx_ratios GROUP BY search_position
+),
+fx_labelled AS (
+  SELECT r.search_country, r.search_position, r.group_count, r.distinct_companies,
+    r.distinct_job_levels, r.distinct_job_types, r.summary_coverage, r.distinct_skills,
+    r.skills_per_posting, r.companies_per_posting,
+    CASE WHEN r.group_count > t.thr THEN 1 ELSE 0 END AS high_demand
+  FROM fx_ratios r LEFT JOIN fx_thr t ON r.search_position = t.search_position
+),
+fx_dataset AS (
+  SELECT *, CASE WHEN {_BUCKET} < 179 THEN 'train' ELSE 'test' END AS split FROM fx_labelled
+),
+fx_test AS (SELECT * EXCLUDE (split) FROM fx_dataset WHERE split = 'test'),
+fx_scored AS (
+  SELECT l.doc_id, l.quality AS label,
+    cast(d.n_chars % 101 AS double) / 100.0::double AS p1,
+    cast((l.doc_id * 37) % 101 AS double) / 100.0::double AS p2,
+    (cast((l.doc_id * 53) % 41 AS double) - 20.0::double) / 10.0::double AS margin
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id
+),
+fx_voted AS (
+  SELECT *, CASE WHEN prob_ensemble >= 0.5 THEN 1.0::double ELSE 0.0::double END AS prediction
+  FROM (SELECT *, (p1 + p2 + prob_margin) / 3.0::double AS prob_ensemble
+        FROM (SELECT *, 1.0::double / (1.0::double + exp(-margin)) AS prob_margin FROM fx_scored) a) b
+),
+fx_conf AS (SELECT label, prediction, count(*) AS n FROM fx_voted GROUP BY label, prediction),
+fx_classes AS (
+  SELECT class, sum(actual) AS support, sum(predicted) AS predicted, sum(tp) AS tp FROM (
+    SELECT cast(label AS double) AS class, n AS actual, 0 AS predicted,
+      CASE WHEN cast(label AS double) = prediction THEN n ELSE 0 END AS tp FROM fx_conf
+    UNION ALL
+    SELECT prediction AS class, 0, n, 0 FROM fx_conf) u
+  GROUP BY class
+),
+fx_per_class AS (
+  SELECT class, cast(support AS bigint) AS support, cast(predicted AS bigint) AS predicted,
+    cast(tp AS bigint) AS tp,
+    CASE WHEN predicted = 0 THEN 0.0 ELSE tp / cast(predicted AS double) END AS precision,
+    CASE WHEN support = 0 THEN 0.0 ELSE tp / cast(support AS double) END AS recall
+  FROM fx_classes
+),
+fx_per_class_f1 AS (
+  SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
+                 ELSE 2 * precision * recall / (precision + recall) END AS f1
+  FROM fx_per_class
+),
+fx_curve AS (
+  SELECT score, pos, neg,
+    sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+    sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp
+  FROM (SELECT prob_ensemble AS score, count(*) FILTER (WHERE label = 1) AS pos,
+          count(*) FILTER (WHERE label <> 1) AS neg FROM fx_voted GROUP BY prob_ensemble) s
+)
+"""
+
+_MEDIANS = ", ".join(f"quantile_disc({c}, 0.5) AS {c}" for c in (
+    "summary_coverage", "distinct_job_levels", "distinct_job_types", "skills_per_posting",
+    "companies_per_posting", "distinct_companies", "distinct_skills", "group_count"))
+
+ML_BODIES: dict[str, str] = {
+    "group_features": "SELECT * FROM fx_groups",
+    "ratio_features": "SELECT * FROM fx_ratios",
+    "quantile_label": "SELECT * FROM fx_labelled",
+    "hash_split": f"""
+SELECT search_country, search_position, {_BUCKET} AS bucket,
+  CASE WHEN {_BUCKET} < 179 THEN 'train' ELSE 'test' END AS split FROM fx_groups""",
+    "ml_dataset": "SELECT * FROM fx_dataset",
+    "class_distribution": 'SELECT high_demand, split, count(*) AS "count" FROM fx_dataset GROUP BY high_demand, split',
+    "prepare_summary": f"""
+SELECT 'country_position' AS aggregation, 5 AS min_postings_per_group, 0.75::double AS high_demand_quantile,
+  count(*) AS rows_before_filter,
+  count(*) FILTER (WHERE group_count >= 5) AS rows_after_filter,
+  count(*) FILTER (WHERE group_count >= 5 AND {_BUCKET} < 179) AS train_rows,
+  count(*) FILTER (WHERE group_count >= 5 AND {_BUCKET} >= 179) AS test_rows,
+  42 AS split_seed
+FROM fx_groups""",
+    "sample_n": """
+SELECT * FROM fx_test
+ORDER BY md5(concat_ws('|', search_country, search_position, '42')), search_country, search_position
+LIMIT 20""",
+    "median_profile": f"SELECT {_MEDIANS} FROM fx_test",
+    "whatif_rows": f"""
+, med AS (SELECT {_MEDIANS} FROM fx_test),
+scen(search_country, search_position) AS (VALUES ('nation_1', 'red plate'), ('nation_5', 'new gear'),
+  ('nation_12', 'hot gear'), ('atlantis', 'blue bolt'))
+SELECT *, 'held_out' AS source FROM (
+  SELECT * FROM fx_test
+  ORDER BY md5(concat_ws('|', search_country, search_position, '42')), search_country, search_position
+  LIMIT 20) h
+UNION ALL
+SELECT s.search_country, s.search_position, m.group_count, m.distinct_companies, m.distinct_job_levels,
+  m.distinct_job_types, m.summary_coverage, m.distinct_skills, m.skills_per_posting,
+  m.companies_per_posting, 0 AS high_demand, 'crafted' AS source
+FROM scen s, med m""",
+    "sigmoid_score": "SELECT *, 1.0::double / (1.0::double + exp(-margin)) AS prob_margin FROM fx_scored",
+    "soft_vote": "SELECT doc_id, label, prob_ensemble, prediction FROM fx_voted",
+    "confusion": 'SELECT label, prediction, count(*) AS "count" FROM fx_voted GROUP BY label, prediction',
+    "per_class_metrics": "SELECT class, support, predicted, tp, precision, recall, f1 FROM fx_per_class_f1",
+    "binary_metrics": """
+SELECT (SELECT sum(tp) / cast(sum(support) AS double) FROM fx_per_class_f1) AS accuracy,
+  (SELECT sum(f1 * support) / cast(sum(support) AS double) FROM fx_per_class_f1) AS f1,
+  sum(neg * ((tp - pos) + tp) / 2.0) / (cast(sum(pos) AS double) * sum(neg)) AS auc_roc,
+  sum(pos * (tp / cast(tp + fp AS double)
+             + CASE WHEN (tp - pos) + (fp - neg) = 0 THEN tp / cast(tp + fp AS double)
+                    ELSE (tp - pos) / cast((tp - pos) + (fp - neg) AS double) END) / 2.0)
+    / cast(sum(pos) AS double) AS auc_pr
+FROM fx_curve""",
+    "threshold_sweep": """
+, thr AS (SELECT cast(k AS double) / 20.0::double AS threshold FROM range(1, 20) t(k)),
+sw AS (
+  SELECT t.threshold,
+    count(*) FILTER (WHERE v.label = 1 AND v.prob_ensemble >= t.threshold) AS tp,
+    count(*) FILTER (WHERE v.label <> 1 AND v.prob_ensemble >= t.threshold) AS fp,
+    count(*) FILTER (WHERE v.label = 1 AND v.prob_ensemble < t.threshold) AS fn,
+    count(*) FILTER (WHERE v.label <> 1 AND v.prob_ensemble < t.threshold) AS tn
+  FROM thr t, fx_voted v GROUP BY t.threshold
+),
+pr AS (
+  SELECT *, CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / cast(tp + fp AS double) END AS precision,
+    CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / cast(tp + fn AS double) END AS recall FROM sw
+),
+f AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
+                     ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM pr)
+SELECT *, row_number() OVER (ORDER BY f1 DESC, threshold ASC) = 1 AS is_best FROM f""",
+}
+
+
+def ml_oracle_sql() -> dict[str, str]:
+    return {key: PREFIX + ML_CTES + body.strip() for key, body in ML_BODIES.items()}

@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandlens.plans import analytics
+from demandlens.plans import analytics, mlprep
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     out.update(analytics.QUERIES)
+    out.update(mlprep.QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     from demandlens.plans import oracle
 
-    return oracle.oracle_sql()
+    out = oracle.oracle_sql()
+    out.update(oracle.ml_oracle_sql())
+    return out

@@ -98,3 +98,19 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return enrich(type_postings(postings_raw(spark, sf_dir)),
                   skills_raw(spark, sf_dir), summary_raw(spark, sf_dir))
+
+
+def scored_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored table for the metric operators: a 0/1 label, two probability
+    columns and a margin, derived from ``labels`` and ``documents``.  Scores
+    repeat on purpose (ties)."""
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    doc = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    j = lab.join(doc, "doc_id")
+    return j.select(
+        "doc_id",
+        F.col("quality").alias("label"),
+        ((F.col("n_chars") % 101).cast("double") / F.lit(100.0)).alias("p1"),
+        (((F.col("doc_id") * 37) % 101).cast("double") / F.lit(100.0)).alias("p2"),
+        ((((F.col("doc_id") * 53) % 41).cast("double") - F.lit(20.0)) / F.lit(10.0)).alias("margin"),
+    )
