@@ -20,8 +20,7 @@ def explode_list(df: DataFrame, list_col: str = "job_skills", out_col: str = "sk
     empty elements are dropped; duplicates inside one list are kept.
     ``sep`` is a literal, not a pattern.
     """
-    pattern = "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
-    element = F.explode(F.split(F.coalesce(F.col(list_col), F.lit("")), pattern))
+    element = F.explode(F.split(F.coalesce(F.col(list_col), F.lit("")), "\\Q" + sep + "\\E"))
     item = F.trim(F.col("__item"))
     if lower:
         item = F.trim(F.lower(F.col("__item")))

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandlens.plans import analytics, mlprep
+from demandlens.plans import analytics, io, mlprep
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     out.update(analytics.QUERIES)
     out.update(mlprep.QUERIES)
+    out.update(io.QUERIES)
     return out
 
 
@@ -21,4 +22,5 @@ def oracle_sql() -> dict[str, str]:
 
     out = oracle.oracle_sql()
     out.update(oracle.ml_oracle_sql())
+    out.update(oracle.io_oracle_sql())
     return out
