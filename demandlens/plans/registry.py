@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandlens.plans import analytics, io, mlprep
+from demandlens.plans import analytics, io, ml, mlprep
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out.update(analytics.QUERIES)
     out.update(mlprep.QUERIES)
     out.update(io.QUERIES)
+    out.update(ml.QUERIES)
     return out
 
 
