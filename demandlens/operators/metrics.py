@@ -32,11 +32,12 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], descen
     spark = df.sparkSession
     n = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), 64)
     probs = [i / float(n) for i in range(1, n)] or [0.5]
-    bounds = df.agg(F.percentile_approx(F.col(order_col), probs, 10000)).scalar()
-    # Bucket index = number of quantile bounds below the value (n-1 compares).
+    # At most n-1 quantile bounds (bounded metadata, like a range
+    # partitioner's sample) are fetched once and used as literals.
+    bounds = df.agg(F.percentile_approx(F.col(order_col), probs, 10000)).first()[0] or []
     bucket = F.lit(0)
-    for i in range(len(probs)):
-        bucket = bucket + (F.get(bounds, i) < F.col(order_col)).cast("int")
+    for b in sorted(set(bounds)):
+        bucket = bucket + (F.lit(b) < F.col(order_col)).cast("int")
     tagged = df.withColumn("__b", bucket)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     local_w = (Window.partitionBy("__b").orderBy(order)
@@ -131,8 +132,10 @@ def binary_metrics(pred: DataFrame, label: str = "label", prediction: str = "pre
     """
     summary = classification_summary(pred, label, prediction)
     packed = summary.select(F.struct("accuracy", "f1")).scalar()
-    return auc(pred, label, score).select(packed.getField("accuracy").alias("accuracy"),
-                                          packed.getField("f1").alias("f1"), "auc_roc", "auc_pr")
+    # The struct is one column first, so the subquery runs once.
+    both = auc(pred, label, score).select(packed.alias("__s"), "auc_roc", "auc_pr")
+    return both.select(F.col("__s.accuracy").alias("accuracy"), F.col("__s.f1").alias("f1"),
+                       "auc_roc", "auc_pr")
 
 
 def threshold_sweep(scored: DataFrame, label: str = "label", score: str = "score",
