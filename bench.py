@@ -50,6 +50,7 @@ def main() -> None:
     timed("enrich", lambda: write_table(fx.enriched(spark, sf_dir), scratch, "enriched"))
     enriched = spark.read.parquet(enriched_path)
     clean = clean_jobs(enriched)
+    report = clean_jobs(enriched, nullable="presence")
     skills = explode_list(clean)
 
     headline = {
@@ -61,8 +62,8 @@ def main() -> None:
         "top_companies": lambda: demand.top_companies(clean),
         "demand_by_date": lambda: demand.demand_by_date(clean),
         "share_of_total": lambda: share.share_of_total(clean, ["job_type"]),
-        "null_coverage": lambda: quality.null_coverage(clean),
-        "data_characteristics": lambda: quality.data_characteristics(clean, enriched.columns),
+        "null_coverage": lambda: quality.null_coverage(report),
+        "data_characteristics": lambda: quality.data_characteristics(report, enriched.columns),
         "group_features": lambda: mlprep.group_features(enriched),
         "ml_dataset": lambda: mlprep.labelled(mlprep.group_features(enriched)),
         "binary_metrics": lambda: metrics.binary_metrics(

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandlens.functions.text import SENTINEL, key_text, normalized_text, nullable_text
+from demandlens.functions.text import SENTINEL, is_blank, key_text, normalized_text, nullable_text
 
 SENTINEL_COLUMNS = ("job_title", "company", "job_location", "search_city", "search_country",
                     "search_position", "job_level", "job_type")
@@ -24,12 +24,21 @@ CASED_NULLABLE = ("job_summary",)
 
 def clean_text(df: DataFrame, sentinel_cols: Sequence[str] = (), lower_nullable: Sequence[str] = (),
                cased_nullable: Sequence[str] = (), sentinel: str = SENTINEL,
-               blank_after_clean: bool = False) -> DataFrame:
-    """Normalise the named columns in one projection; others pass through."""
+               blank_after_clean: bool = False, nullable: str = "clean") -> DataFrame:
+    """Normalise the named columns in one projection; others pass through.
+
+    ``nullable="presence"`` only applies the blank -> NULL rule to the
+    nullable columns (values stay raw).  NULL-ness is exactly that of the
+    cleaned value, so reports that only test NULL-ness skip the regex over
+    long texts.
+    """
     exprs = []
     for name in df.columns:
         if name in sentinel_cols:
             exprs.append(normalized_text(name, sentinel, True, blank_after_clean).alias(name))
+        elif (name in lower_nullable or name in cased_nullable) and nullable == "presence":
+            exprs.append(F.when(is_blank(name), F.lit(None).cast("string"))
+                         .otherwise(F.col(name)).alias(name))
         elif name in lower_nullable:
             exprs.append(nullable_text(name, lower=True).alias(name))
         elif name in cased_nullable:
@@ -40,15 +49,18 @@ def clean_text(df: DataFrame, sentinel_cols: Sequence[str] = (), lower_nullable:
 
 
 def clean_jobs(enriched: DataFrame, sentinel: str = SENTINEL,
-               blank_after_clean: bool = False) -> DataFrame:
-    """The clean analytics base frame over the enriched posting table."""
+               blank_after_clean: bool = False, nullable: str = "clean") -> DataFrame:
+    """The clean analytics base frame over the enriched posting table.
+
+    ``nullable="presence"`` is for coverage reports (see ``clean_text``).
+    """
     present = set(enriched.columns)
     return clean_text(
         enriched,
         [c for c in SENTINEL_COLUMNS if c in present],
         [c for c in LOWER_NULLABLE if c in present],
         [c for c in CASED_NULLABLE if c in present],
-        sentinel, blank_after_clean)
+        sentinel, blank_after_clean, nullable)
 
 
 def clean_keys(df: DataFrame, keys: Sequence[str] = ("search_country", "search_position")) -> DataFrame:

@@ -118,17 +118,22 @@ def q_share_of_total(spark, sf):
 
 # --- quality ---------------------------------------------------------------------------------
 
+def report_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean frame for coverage reports: nullable texts only tested for NULL."""
+    return clean_jobs(enriched(spark, sf), nullable="presence")
+
+
 def q_data_characteristics(spark, sf):
     e = enriched(spark, sf)
-    return quality.data_characteristics(clean_jobs(e), feature_names=e.columns)
+    return quality.data_characteristics(clean_jobs(e, nullable="presence"), feature_names=e.columns)
 
 
 def q_data_characteristics_wide(spark, sf):
-    return quality.data_characteristics_wide(clean(spark, sf))
+    return quality.data_characteristics_wide(report_clean(spark, sf))
 
 
 def q_null_coverage(spark, sf):
-    return quality.null_coverage(clean(spark, sf))
+    return quality.null_coverage(report_clean(spark, sf))
 
 
 def q_qc_distribution(spark, sf):

@@ -23,10 +23,11 @@ from demandlens.sources import files
 def analytics_tables(enriched: DataFrame) -> dict[str, Callable[[], DataFrame]]:
     """Table name -> lazy builder over the enriched table."""
     clean = clean_jobs(enriched)
+    report = clean_jobs(enriched, nullable="presence")  # NULL tests only
     skills = explode_list(clean)
     return {
-        "data_characteristics": lambda: quality.data_characteristics(clean, enriched.columns),
-        "null_coverage": lambda: quality.null_coverage(clean),
+        "data_characteristics": lambda: quality.data_characteristics(report, enriched.columns),
+        "null_coverage": lambda: quality.null_coverage(report),
         "top_positions_global": lambda: demand.top_positions_global(clean),
         "top_positions_by_country": lambda: demand.top_positions_by_country(clean),
         "top_skills_global": lambda: demand.top_skills_global(skills),
@@ -37,7 +38,7 @@ def analytics_tables(enriched: DataFrame) -> dict[str, Callable[[], DataFrame]]:
         "top_companies": lambda: demand.top_companies(clean),
         "demand_by_date": lambda: demand.demand_by_date(clean),
         "demand_by_country": lambda: demand.demand_by_country(clean),
-        "data_characteristics_wide": lambda: quality.data_characteristics_wide(clean),
+        "data_characteristics_wide": lambda: quality.data_characteristics_wide(report),
     }
 
 

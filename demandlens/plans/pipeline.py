@@ -1,0 +1,81 @@
+"""End-to-end run: land -> scan -> type -> enrich -> analytics -> ML set -> models -> scores.
+
+    python -m demandlens.plans.pipeline --sf /root/testdata/sf0.01 --out <shared folder>
+
+Each stage writes its output under ``--out`` and the next stage reads it back,
+like the reference's staged jobs; every write is an overwrite, so a re-run
+replaces the previous results.
+"""
+
+from __future__ import annotations
+
+import argparse
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from demandlens.ml import models as mdl
+from demandlens.ml.score import score_with
+from demandlens.operators.enrich import enrich
+from demandlens.operators.typing import type_postings
+from demandlens.plans import eda, mlprep
+from demandlens.session import build_session
+from demandlens.sources import files
+from demandlens.sources import fixtures as fx
+
+
+def run(spark: SparkSession, sf: str, out: str, grid: str = "compact",
+        train_models: bool = True) -> dict:
+    out = out.rstrip("/")
+    raw = {"postings": fx.postings_raw(spark, sf), "skills": fx.skills_raw(spark, sf),
+           "summary": fx.summary_raw(spark, sf)}
+    # Stage 1: land the three sources as \001 text, read them back typed.
+    for name, df in raw.items():
+        files.land_delimited(df, f"{out}/raw/{name}")
+    scanned = {name: files.scan_delimited(spark, f"{out}/raw/{name}", df.columns)
+               for name, df in raw.items()}
+    enriched = enrich(type_postings(scanned["postings"]), scanned["skills"], scanned["summary"])
+    enriched_path = files.write_table(enriched, f"{out}/enriched", "postings_enriched")
+    # Stage 2: analytics tables and previews.
+    tables = eda.build_all(spark, enriched_path, f"{out}/analytics", f"{out}/previews")
+    # Stage 3: ML set, models, scores.
+    data = mlprep.labelled(mlprep.group_features(spark.read.parquet(enriched_path)))
+    data = data.withColumn("split", mlprep.split_column(mlprep.GROUP_KEYS, mlprep.TRAIN_FRACTION,
+                                                        mlprep.SEED))
+    ml_path = files.write_table(data, f"{out}/ml", "dataset")
+    ds = spark.read.parquet(ml_path)
+    if ds.isEmpty():
+        raise RuntimeError("no (country, position) groups left after the size filter")
+    if not train_models:
+        return {"enriched": enriched_path, "tables": tables, "ml": ml_path, "models": []}
+    train = ds.where(F.col("split") == "train").drop("split").cache()
+    test = ds.where(F.col("split") == "test").drop("split").cache()
+    models = {}
+    for name in mdl.MODEL_NAMES:
+        cv_model, _, _ = mdl.tune(name, train, grid)
+        path = f"{out}/models/{name}"
+        cv_model.bestModel.write().overwrite().save(path)
+        models[name] = PipelineModel.load(path)
+    scored = score_with(models, mlprep.whatif_rows(test))
+    files.write_csv(scored.select("source", "search_country", "search_position",
+                                  F.col("high_demand").alias("true_label"),
+                                  *[f"pred_{n}" for n in mdl.MODEL_NAMES], "pred_ensemble")
+                    .orderBy("source", "search_country", "search_position").coalesce(1),
+                    f"{out}/predictions")
+    return {"enriched": enriched_path, "tables": tables, "ml": ml_path, "models": list(models)}
+
+
+def main() -> None:
+    ap = argparse.ArgumentParser(description=__doc__)
+    ap.add_argument("--sf", required=True)
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--grid", default="compact", choices=["compact", "full"])
+    args = ap.parse_args()
+    spark = build_session()
+    print(run(spark, args.sf, args.out, args.grid))
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

@@ -74,12 +74,30 @@ def scan_delimited(spark: SparkSession, path: str, columns: Sequence[str], sep:
                    null: str = NULL_MARK) -> DataFrame:
     """All-string scan of landed text: split with limit -1 (trailing empty
     fields kept), ``\\N`` -> NULL, ``''`` stays ``''``."""
+    return parse_delimited(spark.read.text(path), columns, sep, null)
+
+
+def parse_delimited(lines: DataFrame, columns: Sequence[str], sep: str = FIELD_SEP,
+                    null: str = NULL_MARK) -> DataFrame:
+    """``value`` lines -> named string columns (batch or streaming input)."""
     parts = F.split(F.col("value"), "\\Q" + sep + "\\E", -1)  # literal, not a pattern
-    raw = spark.read.text(path).select(parts.alias("__f"))
+    raw = lines.select(parts.alias("__f"))
     return raw.select(*[F.nullif(F.get(F.col("__f"), i), F.lit(null)).alias(c)
                         for i, c in enumerate(columns)])
 
 
+def write_report(reports: Mapping[str, DataFrame], base_path: str, sep: str = "\t",
+                 mode: str = "overwrite") -> list[str]:
+    """Several result sets as TSV with header, NULL written as an empty field."""
+    paths = []
+    for name, df in reports.items():
+        path = f"{base_path.rstrip('/')}/{name}"
+        df.write.mode(mode).option("header", True).option("sep", sep).option("nullValue", "") \
+            .option("emptyValue", "").csv(path)
+        paths.append(path)
+    return paths
+
+
 def line_counts(spark: SparkSession, paths: Mapping[str, str],
                 count_name: str = "line_count") -> DataFrame:
     """``(table_name, line_count)`` of landed folders (all part files)."""
