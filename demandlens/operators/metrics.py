@@ -4,7 +4,7 @@ Confusion counts, accuracy, weighted F1, per-class precision / recall / F1,
 exact AUC-ROC and AUC-PR (MLlib's curve definitions with every distinct score
 as a threshold), a threshold sweep and soft voting.  Nothing is collected:
 the curve areas need prefix sums over scores in descending order, which are
-computed with a range-partitioned running sum (``prefix_sums``) instead of an
+computed per quantile bucket of the scores (``prefix_sums``) instead of with an
 un-partitioned window, so no single task sees all distinct scores.
 """
 

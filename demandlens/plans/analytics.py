@@ -2,9 +2,9 @@
 
 Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame built
 from the driver's tables through the posting-shaped fixtures.  The shared
-stages (typed -> enriched -> clean -> exploded) are plain functions, so a
-caller that needs several tables persists the clean frame once
-(``plans.eda.build_all``) while each query here stays self-contained.
+stages (typed -> enriched -> clean -> exploded) are plain functions; the
+batch job (``plans.eda.build_all``) runs the same operators over the written
+enriched Parquet table, where each table reads only its own columns.
 """
 
 from __future__ import annotations

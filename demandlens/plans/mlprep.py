@@ -158,13 +158,21 @@ def voted(spark, sf) -> DataFrame:
     return metrics.soft_vote(s, ["p1", "p2", "prob_margin"])
 
 
+# Computed probabilities and metric values are reported with 6 decimals (the
+# reference's output format), so engines that differ in the last bit of
+# exp() or of a summation order report the same value.
+REPORT_DECIMALS = 6
+
+
 def q_sigmoid_score(spark, sf):
     s = fx.scored_docs(spark, sf)
-    return s.withColumn("prob_margin", sigmoid("margin"))
+    return s.withColumn("prob_margin", F.round(sigmoid("margin"), REPORT_DECIMALS))
 
 
 def q_soft_vote(spark, sf):
-    return voted(spark, sf).select("doc_id", "label", "prob_ensemble", "prediction")
+    return voted(spark, sf).select("doc_id", "label",
+                                   F.round("prob_ensemble", REPORT_DECIMALS).alias("prob_ensemble"),
+                                   "prediction")
 
 
 def q_confusion(spark, sf):
@@ -172,7 +180,8 @@ def q_confusion(spark, sf):
 
 
 def q_binary_metrics(spark, sf):
-    return metrics.binary_metrics(voted(spark, sf), "label", "prediction", "prob_ensemble")
+    m = metrics.binary_metrics(voted(spark, sf), "label", "prediction", "prob_ensemble")
+    return m.select(*[F.round(c, REPORT_DECIMALS).alias(c) for c in m.columns])
 
 
 def q_per_class_metrics(spark, sf):

@@ -362,11 +362,13 @@ SELECT s.search_country, s.search_position, m.group_count, m.distinct_companies,
   m.distinct_job_types, m.summary_coverage, m.distinct_skills, m.skills_per_posting,
   m.companies_per_posting, 0 AS high_demand, 'crafted' AS source
 FROM scen s, med m""",
-    "sigmoid_score": "SELECT *, 1.0::double / (1.0::double + exp(-margin)) AS prob_margin FROM fx_scored",
-    "soft_vote": "SELECT doc_id, label, prob_ensemble, prediction FROM fx_voted",
+    "sigmoid_score": "SELECT *, round(1.0::double / (1.0::double + exp(-margin)), 6) AS prob_margin FROM fx_scored",
+    "soft_vote": "SELECT doc_id, label, round(prob_ensemble, 6) AS prob_ensemble, prediction FROM fx_voted",
     "confusion": 'SELECT label, prediction, count(*) AS "count" FROM fx_voted GROUP BY label, prediction',
     "per_class_metrics": "SELECT class, support, predicted, tp, precision, recall, f1 FROM fx_per_class_f1",
     "binary_metrics": """
+SELECT round(accuracy, 6) AS accuracy, round(f1, 6) AS f1, round(auc_roc, 6) AS auc_roc,
+  round(auc_pr, 6) AS auc_pr FROM (
 SELECT (SELECT sum(tp) / cast(sum(support) AS double) FROM fx_per_class_f1) AS accuracy,
   (SELECT sum(f1 * support) / cast(sum(support) AS double) FROM fx_per_class_f1) AS f1,
   sum(neg * ((tp - pos) + tp) / 2.0) / (cast(sum(pos) AS double) * sum(neg)) AS auc_roc,
@@ -374,7 +376,7 @@ SELECT (SELECT sum(tp) / cast(sum(support) AS double) FROM fx_per_class_f1) AS a
              + CASE WHEN (tp - pos) + (fp - neg) = 0 THEN tp / cast(tp + fp AS double)
                     ELSE (tp - pos) / cast((tp - pos) + (fp - neg) AS double) END) / 2.0)
     / cast(sum(pos) AS double) AS auc_pr
-FROM fx_curve""",
+FROM fx_curve) m""",
     "threshold_sweep": """
 , thr AS (SELECT cast(k AS double) / 20.0::double AS threshold FROM range(1, 20) t(k)),
 sw AS (
