@@ -1,6 +1,6 @@
 """End-to-end run: land -> scan -> type -> enrich -> analytics -> ML set -> models -> scores.
 
-    python -m demandlens.plans.pipeline --sf /root/testdata/sf0.01 --out <shared folder>
+    python -m demandlens.plans.runner --sf /root/testdata/sf0.01 --out <shared folder>
 
 Each stage writes its output under ``--out`` and the next stage reads it back,
 like the reference's staged jobs; every write is an overwrite, so a re-run

@@ -1,7 +1,7 @@
 import time
 
 from conftest import SF_SMALL
-from demandlens.plans import pipeline
+from demandlens.plans import runner
 from demandlens.session import scratch_dir
 from demandlens.sources import files
 from demandlens.sources import fixtures as fx
@@ -9,9 +9,9 @@ from demandlens.sources.catalog import list_tables, register_views, require_path
 from demandlens.streaming.landing import stream_landed, write_typed
 
 
-def test_pipeline_stages_without_models(spark):
+def test_runner_stages_without_models(spark):
     out = scratch_dir(spark, "t-pipe")
-    res = pipeline.run(spark, SF_SMALL, out, train_models=False)
+    res = runner.run(spark, SF_SMALL, out, train_models=False)
     enriched = spark.read.parquet(res["enriched"])
     assert enriched.count() == fx.enriched(spark, SF_SMALL).count()
     assert len(res["tables"]) == 13
