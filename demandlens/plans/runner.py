@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from demandlens.ml import models as mdl
 from demandlens.ml.score import score_with
-from demandlens.operators.enrich import enrich
+from demandlens.operators import quality
+from demandlens.operators.enrich import enrich, join_coverage
 from demandlens.operators.typing import type_postings
 from demandlens.plans import eda, mlprep
 from demandlens.session import build_session
@@ -37,6 +38,18 @@ def run(spark: SparkSession, sf: str, out: str, grid: str = "compact",
                for name, df in raw.items()}
     enriched = enrich(type_postings(scanned["postings"]), scanned["skills"], scanned["summary"])
     enriched_path = files.write_table(enriched, f"{out}/enriched", "postings_enriched")
+    # Quality reports of the landed sources and the wide table, as TSV.
+    wide = spark.read.parquet(enriched_path)
+    files.write_report({
+        "table_counts": quality.table_counts({**scanned, "enriched": wide}),
+        "distinct_keys": quality.distinct_keys(scanned),
+        "time_range": quality.time_range(type_postings(scanned["postings"])),
+        "join_coverage": join_coverage(scanned["postings"], "job_link",
+                                       {"postings_with_skills": scanned["skills"],
+                                        "postings_with_summary": scanned["summary"]}),
+        "distributions": quality.value_distribution(scanned["postings"], ["job_level", "job_type"]),
+        "enriched_coverage": quality.enriched_coverage(wide),
+    }, f"{out}/reports")
     # Stage 2: analytics tables and previews.
     tables = eda.build_all(spark, enriched_path, f"{out}/analytics", f"{out}/previews")
     # Stage 3: ML set, models, scores.

@@ -17,7 +17,10 @@ def test_runner_stages_without_models(spark):
     assert len(res["tables"]) == 13
     top = spark.read.parquet(f"{out}/analytics/top_positions_global")
     assert top.count() > 0
-    require_paths(spark, [res["enriched"], f"{out}/previews/top_companies"])
+    require_paths(spark, [res["enriched"], f"{out}/previews/top_companies",
+                          f"{out}/reports/table_counts"])
+    counts = spark.read.csv(f"{out}/reports/table_counts", sep="\t", header=True).collect()
+    assert {r.table_name for r in counts} == {"postings", "skills", "summary", "enriched"}
 
 
 def test_require_paths_fails_early(spark):
