@@ -51,3 +51,19 @@ def test_streaming_landing_matches_batch(spark):
     q2.awaitTermination(300)
     time.sleep(0.1)
     assert spark.read.parquet(out).count() == src.count()
+
+
+def test_database_with_location_and_table_scan(spark):
+    from demandlens.sources.catalog import ensure_database
+    from demandlens.sources.files import save_table
+
+    loc = scratch_dir(spark, "t-db")
+    current = spark.catalog.currentDatabase()
+    try:
+        ensure_database(spark, "demandlens_t", loc)
+        save_table(spark.range(5), "t_ids")
+        save_table(spark.range(7), "t_ids")  # idempotent replace
+        assert spark.table("demandlens_t.t_ids").count() == 7
+        assert "t_ids" in {r.tableName for r in list_tables(spark, "demandlens_t").collect()}
+    finally:
+        spark.catalog.setCurrentDatabase(current)
