@@ -74,14 +74,15 @@ def postings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def skills_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(job_link, job_skills)``: sorted part names of an order, comma separated.
 
-    The list of one order is bounded by its line items, so collecting it is a
-    per-key bounded aggregate.
+    The source format is one list string per posting, so the aggregate holds
+    one order's names (bounded by its line items).
     """
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    names = F.expr("listagg(p_name, ', ') WITHIN GROUP (ORDER BY p_name)")
     return (li.join(p, li.l_partkey == p.p_partkey)
             .groupBy("l_orderkey")
-            .agg(F.array_join(F.sort_array(F.collect_list("p_name")), ", ").alias("job_skills"))
+            .agg(names.alias("job_skills"))
             .select(_link(F.col("l_orderkey")).alias("job_link"), "job_skills"))
 
 
