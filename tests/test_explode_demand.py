@@ -42,3 +42,11 @@ def test_empty_input_aggregates(spark):
     assert demand.top_positions_global(df).count() == 0
     wide = quality.data_characteristics_wide(df).first()
     assert wide.total_rows == 0 and wide.rows_with_skills == 0
+
+
+def test_counts_by_approx_distinct_is_close(spark):
+    df = spark.range(0, 20000).select((F.col("id") % 3).cast("string").alias("k"),
+                                      F.col("id").cast("string").alias("v"))
+    exact = {r.k: r.n for r in demand.counts_by(df, ["k"], distinct={"n": "v"}).collect()}
+    approx = {r.k: r.n for r in demand.counts_by(df, ["k"], distinct={"n": "v"}, approx=True).collect()}
+    assert all(abs(approx[k] - exact[k]) / exact[k] < 0.05 for k in exact)
