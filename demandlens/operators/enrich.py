@@ -6,17 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def left_join_split(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` written as inner join UNION ALL
+    left-anti join, with the same rows and column order.
+
+    In a left outer join AQE can split a hot key only on the left side; in
+    the inner part it can split either side, so a right-side key holding a
+    third of the rows is spread over several tasks.  The anti part only needs
+    the distinct right keys, which partial aggregation collapses map-side.
+    """
+    matched = left.join(right, key, "inner")
+    keys = right.select(key).distinct()
+    fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
+    unmatched = left.join(keys, key, "left_anti").select(*left.columns, *fill)
+    return matched.unionByName(unmatched)
+
+
 def enrich(postings: DataFrame, skills: DataFrame, summary: DataFrame,
            key: str = "job_link", skills_col: str = "job_skills",
-           summary_col: str = "job_summary") -> DataFrame:
+           summary_col: str = "job_summary", skew_safe: bool = True) -> DataFrame:
     """3-way left outer equi-join on ``key`` -> one wide row per posting.
 
-    Both joins are shuffle joins on the same key, so the second reuses the
-    first one's partitioning; AQE turns a side into a broadcast only when its
-    measured size is under the threshold and splits skewed key partitions.
+    The joins are shuffle joins on the key; AQE turns a side into a broadcast
+    only when its measured size is under the threshold and splits skewed
+    partitions.  ``skew_safe=True`` (default) uses ``left_join_split`` so a
+    hot key on the child side can be split too; ``False`` is the plain
+    two left joins.
     """
     s = skills.select(key, skills_col)
     m = summary.select(key, summary_col)
+    if skew_safe:
+        return left_join_split(left_join_split(postings, s, key), m, key)
     return postings.join(s, key, "left").join(m, key, "left")
 
 
