@@ -35,3 +35,19 @@ def test_sample_n_exact_and_stable(spark):
     a = [r.k for r in sample_n(df.repartition(2), ["k"], 20).collect()]
     b = [r.k for r in sample_n(df.repartition(9), ["k"], 20).collect()]
     assert len(a) == 20 and a == b
+
+
+def test_quantile_label_fit_on_train_only(spark):
+    rows = [("p", "a", 1), ("p", "b", 2), ("p", "c", 10), ("q", "d", 5)]
+    df = spark.createDataFrame(rows, "search_position string, k string, group_count long")
+    fit = df.where(F.col("k") != "c")  # threshold of p from {1, 2} -> 2
+    out = {r.k: r.high_demand for r in quantile_label(df, fit_on=fit).collect()}
+    assert out == {"a": 0, "b": 0, "c": 1, "d": 0}
+
+
+def test_balanced_class_weights(spark):
+    from demandlens.ml.models import with_class_weights
+
+    df = spark.createDataFrame([(1,), (0,), (0,), (0,)], "high_demand int")
+    w = {r.high_demand: r.weight for r in with_class_weights(df).collect()}
+    assert abs(w[1] - 2.0) < 1e-12 and abs(w[0] - 4 / 6) < 1e-12
