@@ -1,10 +1,11 @@
 """Batch job: every analytics table from the enriched Parquet table.
 
-The enriched table is written once (the reference's CTAS); every table is
-then its own job over that columnar table, so each reads only the columns
-it needs (e.g. the long summary text is read only by the coverage reports)
-instead of materialising a cleaned copy of all columns in memory, which
-would not fit at scale anyway.  Previews are ordered top-n CSV files.
+The enriched table is written once (the reference's CTAS) and, by default,
+the cleaned table too (one pass of the text normalisation instead of one per
+table); every table is then its own job over that columnar table, so each
+reads only the columns it needs (e.g. the long summary text is read only by
+the coverage reports).  Nothing is cached in memory, which would not fit at
+scale anyway.  Previews are ordered top-n CSV files.
 """
 
 from __future__ import annotations
@@ -20,13 +21,19 @@ from demandlens.operators.explode import explode_list
 from demandlens.sources import files
 
 
-def analytics_tables(enriched: DataFrame) -> dict[str, Callable[[], DataFrame]]:
-    """Table name -> lazy builder over the enriched table."""
-    clean = clean_jobs(enriched)
-    report = clean_jobs(enriched, nullable="presence")  # NULL tests only
+def analytics_tables(enriched: DataFrame, clean: DataFrame | None = None,
+                     feature_names=None) -> dict[str, Callable[[], DataFrame]]:
+    """Table name -> lazy builder over the enriched table (or over an already
+    cleaned table, when one was written)."""
+    feature_names = feature_names or enriched.columns
+    if clean is None:
+        clean = clean_jobs(enriched)
+        report = clean_jobs(enriched, nullable="presence")  # NULL tests only
+    else:
+        report = clean
     skills = explode_list(clean)
     return {
-        "data_characteristics": lambda: quality.data_characteristics(report, enriched.columns),
+        "data_characteristics": lambda: quality.data_characteristics(report, feature_names),
         "null_coverage": lambda: quality.null_coverage(report),
         "top_positions_global": lambda: demand.top_positions_global(clean),
         "top_positions_by_country": lambda: demand.top_positions_by_country(clean),
@@ -53,12 +60,22 @@ _PREVIEW_ORDER = {
 
 
 def build_all(spark: SparkSession, enriched_path: str, out_base: str,
-              preview_base: str | None = None, preview_rows: int = 50) -> list[str]:
+              preview_base: str | None = None, preview_rows: int = 50,
+              materialize_clean: bool = True) -> list[str]:
     """Write every table as Parquet under ``out_base`` (and ordered CSV
-    previews under ``preview_base``); returns the table names."""
+    previews under ``preview_base``); returns the table names.
+
+    ``materialize_clean=True`` writes the cleaned table once (one pass of
+    the text normalisation) and builds every table from it; each table still
+    reads only its own columns.
+    """
     enriched = spark.read.parquet(enriched_path)
+    clean = None
+    if materialize_clean:
+        path = files.write_table(clean_jobs(enriched), out_base, "_clean_postings")
+        clean = spark.read.parquet(path)
     names = []
-    for name, build in analytics_tables(enriched).items():
+    for name, build in analytics_tables(enriched, clean, enriched.columns).items():
         df = build()
         files.write_table(df, out_base, name)
         if preview_base:
