@@ -24,19 +24,18 @@ CASED_NULLABLE = ("job_summary",)
 
 def clean_text(df: DataFrame, sentinel_cols: Sequence[str] = (), lower_nullable: Sequence[str] = (),
                cased_nullable: Sequence[str] = (), sentinel: str = SENTINEL,
-               blank_after_clean: bool = False, nullable: str = "clean") -> DataFrame:
+               blank_after_clean: bool = False, presence: Sequence[str] = ()) -> DataFrame:
     """Normalise the named columns in one projection; others pass through.
 
-    ``nullable="presence"`` only applies the blank -> NULL rule to the
-    nullable columns (values stay raw).  NULL-ness is exactly that of the
-    cleaned value, so reports that only test NULL-ness skip the regex over
-    long texts.
+    Nullable columns listed in ``presence`` only get the blank -> NULL rule
+    (values stay raw).  NULL-ness is exactly that of the cleaned value, so
+    consumers that only test NULL-ness skip the regex over long texts.
     """
     exprs = []
     for name in df.columns:
         if name in sentinel_cols:
             exprs.append(normalized_text(name, sentinel, True, blank_after_clean).alias(name))
-        elif (name in lower_nullable or name in cased_nullable) and nullable == "presence":
+        elif (name in lower_nullable or name in cased_nullable) and name in presence:
             exprs.append(F.when(is_blank(name), F.lit(None).cast("string"))
                          .otherwise(F.col(name)).alias(name))
         elif name in lower_nullable:
@@ -52,15 +51,20 @@ def clean_jobs(enriched: DataFrame, sentinel: str = SENTINEL,
                blank_after_clean: bool = False, nullable: str = "clean") -> DataFrame:
     """The clean analytics base frame over the enriched posting table.
 
-    ``nullable="presence"`` is for coverage reports (see ``clean_text``).
+    ``nullable`` picks how the nullable texts are produced: ``"clean"`` (the
+    full normalisation), ``"presence"`` (skills and summary only tested for
+    NULL: coverage reports) or ``"summary-presence"`` (skills cleaned, the
+    long summary only tested for NULL: the table every analytics job reads).
     """
     present = set(enriched.columns)
+    presence = {"clean": (), "presence": LOWER_NULLABLE + CASED_NULLABLE,
+                "summary-presence": CASED_NULLABLE}[nullable]
     return clean_text(
         enriched,
         [c for c in SENTINEL_COLUMNS if c in present],
         [c for c in LOWER_NULLABLE if c in present],
         [c for c in CASED_NULLABLE if c in present],
-        sentinel, blank_after_clean, nullable)
+        sentinel, blank_after_clean, presence)
 
 
 def clean_keys(df: DataFrame, keys: Sequence[str] = ("search_country", "search_position")) -> DataFrame:

@@ -72,7 +72,9 @@ def build_all(spark: SparkSession, enriched_path: str, out_base: str,
     enriched = spark.read.parquet(enriched_path)
     clean = None
     if materialize_clean:
-        path = files.write_table(clean_jobs(enriched), out_base, "_clean_postings")
+        # The summary text is only tested for NULL downstream.
+        path = files.write_table(clean_jobs(enriched, nullable="summary-presence"), out_base,
+                                 "_clean_postings")
         clean = spark.read.parquet(path)
     names = []
     for name, build in analytics_tables(enriched, clean, enriched.columns).items():
