@@ -67,3 +67,16 @@ def test_database_with_location_and_table_scan(spark):
         assert "t_ids" in {r.tableName for r in list_tables(spark, "demandlens_t").collect()}
     finally:
         spark.catalog.setCurrentDatabase(current)
+
+
+def test_batch_job_clean_once_equals_per_table_cleaning(spark):
+    from demandlens.plans import eda
+    from demandlens.sources.files import write_table
+
+    p = write_table(fx.enriched(spark, SF_SMALL), scratch_dir(spark, "t-eda"), "e")
+    o1, o2 = scratch_dir(spark, "t-eda-a"), scratch_dir(spark, "t-eda-b")
+    names = eda.build_all(spark, p, o1, materialize_clean=False)
+    assert eda.build_all(spark, p, o2, materialize_clean=True) == names
+    for n in names:
+        a, b = spark.read.parquet(f"{o1}/{n}"), spark.read.parquet(f"{o2}/{n}")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, n
