@@ -46,3 +46,26 @@ def test_date_filter_pushed_to_parquet(enriched):
 def test_distinct_rewrite_shuffles_on_key_and_value(enriched):
     plan = _plan(demand.top_companies(clean_jobs(enriched)))
     assert "Expand" in plan
+
+
+def test_sample_and_top_n_use_take_ordered(spark, enriched):
+    from demandlens.operators.split import sample_n
+
+    top = demand.top_n(demand.top_companies(clean_jobs(enriched)), "posting_count", ["company"], 50)
+    assert "TakeOrderedAndProject" in _plan(top)
+    assert "TakeOrderedAndProject" in _plan(sample_n(enriched, ["job_link"], 20))
+
+
+def test_auc_running_sums_are_windowed_per_bucket(spark):
+    from pyspark.sql import functions as F
+
+    from demandlens.operators import metrics
+
+    df = spark.range(0, 500).select((F.col("id") % 2).cast("int").alias("label"),
+                                    (F.col("id") / 500.0).alias("score"))
+    plan = _plan(metrics.auc(df, "label", "score"))
+    windows = [ln for ln in plan.splitlines() if "Window [" in ln]
+    # Running sums over the scores are partitioned by bucket (partition spec,
+    # then the order); the only un-partitioned window runs over bucket totals.
+    assert any("windowspecdefinition(__b#" in w and "score#" in w for w in windows)
+    assert all("score#" not in w for w in windows if "windowspecdefinition(__b#" not in w)
