@@ -64,3 +64,13 @@ def test_skew_safe_left_join_equals_left_join(spark):
     assert safe.columns == plain.columns
     assert sorted(map(tuple, safe.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     assert safe.count() == 55
+
+
+def test_counts_by_prededupe_equals_single_level(spark):
+    rows = [("s1", "j1", "c1"), ("s1", "j1", "c1"), ("s1", "j2", "c2"), ("s2", "j1", "c1"),
+            ("s2", None, "c3"), ("s1", "j3", None)]
+    df = spark.createDataFrame(rows, "skill string, job_link string, search_country string")
+    d = {"posting_count": "job_link", "country_count": "search_country"}
+    a = demand.counts_by(df, ["skill"], "skill_mentions", d)
+    b = demand.counts_by(df, ["skill"], "skill_mentions", d, prededupe=True)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
