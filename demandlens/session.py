@@ -44,19 +44,27 @@ def build_session(master: str | None = None, app: str = "demandlens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) a private scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session.  Where it is unset, a
+    single-JVM ``local`` session gets a private folder; on any other master
+    that folder would not be shared with the executors, so it raises.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_single_jvm(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="demandlens-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
 
 
+def is_single_jvm(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[N]``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written tables.
 
