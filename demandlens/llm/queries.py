@@ -4,12 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demandlens.llm import exact_dedup, sharding
+from demandlens.llm import exact_dedup, mixing, quality_rules, sharding
 from demandlens.llm.common import read
 
 SHARDS = 24
+#: Target weights of each level; a value that is not named has weight 1.
+MIX_WEIGHTS = {"domain": {"web": 3, "books": 2, "code": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2},
+               "source": {"src0": 2}}
+MIX_SEED = 7
+MIX_EPOCHS = 2
+MIX_SHARE = (3, 5)
+
+
+def domain_of(source: Column) -> Column:
+    """A source's domain: by its number, as the synthetic sources have no other family."""
+    number = F.coalesce(F.regexp_extract(source, "([0-9]{1,9})$", 1), F.lit(""))
+    return (F.when(number == "", "web").when(number.try_cast("int") % 3 == 0, "web")
+            .when(number.try_cast("int") % 3 == 1, "books").otherwise("code"))
 
 
 def op1_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,10 +36,76 @@ def op2_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(keyed).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    levels = {"domain": domain_of(F.col("source")), "lang": F.col("lang"), "source": F.col("source")}
+    mixed = mixing.mix(docs, levels, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+    return mixed.select("doc_id", "domain", "lang", "source", "tokens", "epoch")
+
+
+def op10_supervised_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality_rules.judge(docs, keep_columns=False)
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "quality")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_shards, op2_bloom_dedup)
+    f.__name__: f for f in (op1_byte_shards, op2_bloom_dedup, op9_hierarchical_mix, op10_supervised_rules)
 }
 
+MIX_LEVELS = ["domain", "lang", "source"]
+
+
+def _weight_sql(level: str, weights: dict[str, dict[str, int]]) -> str:
+    named = " ".join(f"WHEN '{v}' THEN {w}" for v, w in weights.get(level, {}).items())
+    return f"CASE {level} {named} ELSE 1 END" if named else "1"
+
+
+def mix_sql(table: str, weights: dict[str, dict[str, int]], share: tuple[int, int], epochs: int, seed: int) -> str:
+    """DuckDB twin of the mixing query: families filled level by level, then prefixes of hashed epochs."""
+    parts = [f"""
+        WITH docs AS (
+            SELECT doc_id, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+                   CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]+)$', 1) = '' THEN 'web'
+                        ELSE ['web', 'books', 'code'][1 + CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 3]
+                   END AS domain,
+                   greatest(1, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                                               lambda x: x <> ''))) AS tokens
+            FROM {table}),
+        leaves AS (SELECT domain, lang, source, CAST(sum(tokens) AS HUGEINT) AS tokens FROM docs GROUP BY ALL),
+        b0 AS (SELECT CAST(sum(tokens) AS HUGEINT) * {share[0]} // {share[1]} AS budget FROM leaves)"""]
+    for depth, level in enumerate(MIX_LEVELS):
+        path, parents = MIX_LEVELS[:depth + 1], MIX_LEVELS[:depth]
+        cols, family = ", ".join(path), f"PARTITION BY {', '.join(parents)}" if parents else ""
+        joined = f"JOIN b{depth} USING ({', '.join(parents)})" if parents else "CROSS JOIN b0"
+        before = (f"{family} ORDER BY CAST(supply AS DOUBLE) / weight, {level} "
+                  "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+        parts.append(f"""
+        n{depth} AS (SELECT {cols}, sum(tokens) * {epochs} AS supply, {_weight_sql(level, weights)} AS weight
+                     FROM leaves GROUP BY {cols}),
+        o{depth} AS (SELECT n.*, budget,
+                coalesce(sum(supply) OVER ({before}), 0) AS s0, coalesce(sum(weight) OVER ({before}), 0) AS w0,
+                sum(weight) OVER ({family}) AS w
+            FROM n{depth} n {joined}),
+        f{depth} AS (SELECT *, s0 * weight + supply * (w - w0) <= budget * weight AS fills FROM o{depth}),
+        b{depth + 1} AS (SELECT {cols}, CAST(CASE WHEN fills THEN supply ELSE
+                (budget - sum(CASE WHEN fills THEN supply ELSE 0 END) OVER ({family})) * weight
+                // greatest(1, sum(CASE WHEN fills THEN 0 ELSE weight END) OVER ({family})) END AS HUGEINT) AS budget
+            FROM f{depth})""")
+    leaf = ", ".join(MIX_LEVELS)
+    parts.append(f"""
+        plan AS (SELECT {leaf}, budget // tokens AS epochs, budget % tokens AS rest
+                 FROM leaves JOIN b{len(MIX_LEVELS)} USING ({leaf})),
+        hashed AS (SELECT docs.*, epochs, rest,
+                          md5('{seed}:' || epochs || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+                   FROM docs JOIN plan USING ({leaf})),
+        uses AS (SELECT *, epochs + CASE WHEN sum(tokens) OVER (PARTITION BY {leaf} ORDER BY key) <= rest
+                                         THEN 1 ELSE 0 END AS n FROM hashed)
+        SELECT doc_id, {leaf}, tokens, CAST(e AS BIGINT) AS epoch
+        FROM (SELECT *, unnest(range(CAST(n AS BIGINT))) AS e FROM uses)""")
+    return ",".join(parts)
+
+
 # Texts are equal when identical without white space; the longest original stays.
 ORACLE_SQL: dict[str, str] = {
     "op2_bloom_dedup": r"""
@@ -39,4 +119,5 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id) AS kept,
                text_sha256
         FROM keyed""",
+    "op9_hierarchical_mix": mix_sql("documents", MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED),
 }
