@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm import exact_dedup, mixing, quality_rules, sharding
+from demandlens.llm import exact_dedup, mixing, near_dedup, packing, quality_rules, sharding
 from demandlens.llm.common import read
 
 SHARDS = 24
@@ -36,6 +36,22 @@ def op2_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(keyed).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def tokenizer_files() -> dict[str, str]:
+    """Places of the public vocabulary that the packing query uses."""
+    import public_tokenizers
+
+    return {"tokenizer_file": public_tokenizers.path("byte_bpe_50k.json"),
+            "ranks_file": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
+
+
+def op8_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), **tokenizer_files())
+
+
 def op9_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     levels = {"domain": domain_of(F.col("source")), "lang": F.col("lang"), "source": F.col("source")}
@@ -50,7 +66,7 @@ def op10_supervised_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_shards, op2_bloom_dedup, op9_hierarchical_mix, op10_supervised_rules)
+    f.__name__: f for f in (op1_byte_shards, op2_bloom_dedup, op3_odd_sketch_dedup, op8_vector_packing, op9_hierarchical_mix, op10_supervised_rules)
 }
 
 MIX_LEVELS = ["domain", "lang", "source"]
