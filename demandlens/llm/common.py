@@ -53,3 +53,14 @@ def drop_clashes(df: DataFrame, names: list[str]) -> DataFrame:
 def label_fold(id_col: str, folds: int) -> Column:
     """Remainder of the CRC-32 of the id's text; a null id is in fold -1."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds, F.lit(-1))
+
+
+def fold_rest(docs: DataFrame, used: list[str]) -> DataFrame:
+    """``docs`` with all columns but ``used`` in one struct, so that no name can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in used]
+    return docs.select(*used, *([F.struct(*rest).alias("__rest")] if rest else []))
+
+
+def unfold_rest(df: DataFrame, columns: list[str], used: list[str]) -> DataFrame:
+    """Back to ``columns`` after ``fold_rest``."""
+    return df.select(*[F.col(c) if c in used else F.col("__rest").getField(c).alias(c) for c in columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm import exact_dedup, mixing, near_dedup, packing, quality_rules, sharding
+from demandlens.llm import exact_dedup, mixing, near_dedup, packing, quality_rules, sharding, url_filter
 from demandlens.llm.common import read
 
 SHARDS = 24
@@ -18,6 +18,10 @@ MIX_SEED = 7
 MIX_EPOCHS = 2
 MIX_SHARE = (3, 5)
 
+#: (rule, verdict); the longest rule that fits wins.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
+             ("com/fr/", "allow"), ("com/de/", "block")]
+
 
 def domain_of(source: Column) -> Column:
     """A source's domain: by its number, as the synthetic sources have no other family."""
@@ -40,6 +44,11 @@ def op3_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_boosted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
 def tokenizer_files() -> dict[str, str]:
     """Places of the public vocabulary that the packing query uses."""
     import public_tokenizers
@@ -66,7 +75,7 @@ def op10_supervised_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_shards, op2_bloom_dedup, op3_odd_sketch_dedup, op8_vector_packing, op9_hierarchical_mix, op10_supervised_rules)
+    f.__name__: f for f in (op1_byte_shards, op2_bloom_dedup, op3_odd_sketch_dedup, op7_boosted_urls, op8_vector_packing, op9_hierarchical_mix, op10_supervised_rules)
 }
 
 MIX_LEVELS = ["domain", "lang", "source"]
