@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm import exact_dedup, mixing, near_dedup, packing, quality_rules, sharding, url_filter
+from demandlens.llm import exact_dedup, mixing, near_dedup, packing, quality_model, quality_rules, sharding, toxicity, url_filter
 from demandlens.llm.common import read
 
 SHARDS = 24
@@ -44,6 +44,16 @@ def op3_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return quality_model.score(docs, quality_model.train(docs, labels))
+
+
+def op5_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.train(docs, labels))
+
+
 def op7_boosted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
@@ -75,7 +85,7 @@ def op10_supervised_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_shards, op2_bloom_dedup, op3_odd_sketch_dedup, op7_boosted_urls, op8_vector_packing, op9_hierarchical_mix, op10_supervised_rules)
+    f.__name__: f for f in (op1_byte_shards, op2_bloom_dedup, op3_odd_sketch_dedup, op4_byte_network, op5_factorization_machine, op7_boosted_urls, op8_vector_packing, op9_hierarchical_mix, op10_supervised_rules)
 }
 
 MIX_LEVELS = ["domain", "lang", "source"]
