@@ -41,7 +41,7 @@ BUCKETS = 1 << 20
 STEMS = (4, 5, 6, 7)
 LEAST_Z, LEAST_DOCUMENTS, MAX_TERMS = 5.0, 4, 2_048
 VECTOR = 8
-ROUNDS, RATE, L2, L2_PAIRS = 600, 0.05, 1e-5, 1e-3
+ROUNDS, RATE, L2, L2_PAIRS = 600, 0.05, 1e-4, 1e-3
 #: Words whose buckets a worker remembers before it starts anew.
 REMEMBERED = 300_000
 WORD = re.compile(r"[^\W\d_]+")
