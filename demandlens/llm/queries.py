@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm import exact_dedup, mixing, near_dedup, packing, quality_model, quality_rules, sharding, toxicity, url_filter
+from demandlens.llm import exact_dedup, mixing, near_dedup, packing, pii, quality_model, quality_rules, sharding, toxicity, url_filter
 from demandlens.llm.common import read
 
 SHARDS = 24
@@ -17,6 +17,8 @@ MIX_WEIGHTS = {"domain": {"web": 3, "books": 2, "code": 1}, "lang": {"en": 4, "d
 MIX_SEED = 7
 MIX_EPOCHS = 2
 MIX_SHARE = (3, 5)
+#: A demonstration key; a real run passes its own secret to ``pii.pseudonymise``.
+PII_KEY = b"surrogate demonstration key"
 
 #: (rule, verdict); the longest rule that fits wins.
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
@@ -54,6 +56,11 @@ def op5_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, labels))
 
 
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY)
+
+
 def op7_boosted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
@@ -85,7 +92,7 @@ def op10_supervised_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_shards, op2_bloom_dedup, op3_odd_sketch_dedup, op4_byte_network, op5_factorization_machine, op7_boosted_urls, op8_vector_packing, op9_hierarchical_mix, op10_supervised_rules)
+    f.__name__: f for f in (op1_byte_shards, op2_bloom_dedup, op3_odd_sketch_dedup, op4_byte_network, op5_factorization_machine, op6_surrogates, op7_boosted_urls, op8_vector_packing, op9_hierarchical_mix, op10_supervised_rules)
 }
 
 MIX_LEVELS = ["domain", "lang", "source"]
