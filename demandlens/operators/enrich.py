@@ -5,39 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandlens.session import write_once
 
-def left_join_split(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left LEFT JOIN right USING (key)`` written as inner join UNION ALL
-    left-anti join, with the same rows and column order.
 
-    In a left outer join AQE can split a hot key only on the left side; in
-    the inner part it can split either side, so a right-side key holding a
-    third of the rows is spread over several tasks.  The anti part only needs
-    the distinct right keys, which partial aggregation collapses map-side.
+def left_join_split(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` for a ``right`` whose keys repeat a lot.
+
+    In a left outer join AQE can split a hot key only on the left side; in an
+    inner join it can split either.  So the matches come from an inner join and
+    the rest from an anti join against the distinct right keys, which partial
+    aggregation collapses before its shuffle.  The left side is written once
+    first: both branches read that table, and a non-deterministic left side is
+    evaluated once.
     """
+    left = write_once(left, "join-left")
     matched = left.join(right, key, "inner")
-    keys = right.select(key).distinct()
     fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
-    unmatched = left.join(keys, key, "left_anti").select(*left.columns, *fill)
+    unmatched = left.join(right.select(key).distinct(), key, "left_anti").select(*left.columns, *fill)
     return matched.unionByName(unmatched)
 
 
 def enrich(postings: DataFrame, skills: DataFrame, summary: DataFrame,
            key: str = "job_link", skills_col: str = "job_skills",
-           summary_col: str = "job_summary", skew_safe: bool = True) -> DataFrame:
+           summary_col: str = "job_summary", repeated_child_keys: bool = False) -> DataFrame:
     """3-way left outer equi-join on ``key`` -> one wide row per posting.
 
-    The joins are shuffle joins on the key; AQE turns a side into a broadcast
-    only when its measured size is under the threshold and splits skewed
-    partitions.  ``skew_safe=True`` (default) uses ``left_join_split`` so a
-    hot key on the child side can be split too; ``False`` is the plain
-    two left joins.
+    Two plain left joins: one exchange per input, and AQE turns a side into a
+    broadcast only when its measured size is under the threshold and splits a
+    hot key of the postings.  With ``repeated_child_keys`` the children's keys
+    may be hot too (``left_join_split``).
     """
-    s = skills.select(key, skills_col)
-    m = summary.select(key, summary_col)
-    if skew_safe:
-        return left_join_split(left_join_split(postings, s, key), m, key)
-    return postings.join(s, key, "left").join(m, key, "left")
+    out = postings
+    for child, value in ((skills, skills_col), (summary, summary_col)):
+        child = child.select(key, value)
+        out = left_join_split(out, child, key) if repeated_child_keys else out.join(child, key, "left")
+    return out
 
 
 def join_coverage(parent: DataFrame, key: str, children: dict[str, DataFrame],

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in the library assumes.  Zone-less timestamps are typed
 # as TIMESTAMP_NTZ, so the session zone only matters for display.
@@ -77,6 +77,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/demandlens-scratch/{token}"
 
 
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: evaluated once, lineage cut."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _counter():
     i = 0
     while True:

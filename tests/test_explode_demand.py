@@ -52,15 +52,15 @@ def test_counts_by_approx_distinct_is_close(spark):
     assert all(abs(approx[k] - exact[k]) / exact[k] < 0.05 for k in exact)
 
 
-def test_skew_safe_left_join_equals_left_join(spark):
+def test_split_left_join_equals_left_join_with_a_hot_child_key(spark):
     from demandlens.operators.enrich import enrich
 
     posts = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("c", 4)], "job_link string, x int")
     skills = spark.createDataFrame([("a", "s1")] * 50 + [("a", "s2"), ("c", "s3"), (None, "s4"), ("z", "s5")],
                                    "job_link string, job_skills string")
     summ = spark.createDataFrame([("b", "t1"), ("b", "t2"), ("q", "t3")], "job_link string, job_summary string")
-    plain = enrich(posts, skills, summ, skew_safe=False)
-    safe = enrich(posts, skills, summ, skew_safe=True)
+    plain = enrich(posts, skills, summ)
+    safe = enrich(posts, skills, summ, repeated_child_keys=True)
     assert safe.columns == plain.columns
     assert sorted(map(tuple, safe.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     assert safe.count() == 55
