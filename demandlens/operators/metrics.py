@@ -2,10 +2,15 @@
 
 Confusion counts, accuracy, weighted F1, per-class precision / recall / F1,
 exact AUC-ROC and AUC-PR (MLlib's curve definitions with every distinct score
-as a threshold), a threshold sweep and soft voting.  Nothing is collected:
-the curve areas need prefix sums over scores in descending order, which are
-computed per quantile bucket of the scores (``prefix_sums``) instead of with an
-un-partitioned window, so no single task sees all distinct scores.
+as a threshold), a threshold sweep and soft voting.  The scored rows are read
+once, by a count per (score, label, prediction); everything else works on those
+counts.  No job runs while a plan is built, and nothing is collected: the curve
+areas need prefix sums over scores in descending order, which are computed per
+quantile bucket of the scores (``prefix_sums``) instead of with an un-partitioned
+window, so no single task sees all distinct scores.
+
+A NULL score is the lowest of all: such a row is predicted positive at no
+threshold of the sweep, and counts last in the curves.
 """
 
 from __future__ import annotations
@@ -20,53 +25,56 @@ from demandlens.functions.math import mean_of, sigmoid
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], descending: bool = True,
                 suffix: str = "_cum", buckets: int | None = None) -> DataFrame:
-    """Inclusive running sums of ``value_cols`` in ``order_col`` order.
-
-    ``df`` must hold one row per ``order_col`` value.  Rows are put in range
-    buckets by approximate quantiles of the order column (a deterministic
-    function of the value, so every branch of the plan agrees on it).  Each
-    bucket computes a local running sum in its own task; bucket totals (a
-    table of at most ``buckets`` rows) give the offsets, which are added back
-    through a broadcast of that bounded table.
+    """Inclusive running sums of ``value_cols`` in ``order_col`` order, one row per ``order_col`` value out.
+
+    Rows with equal order values are added up first, so ties cannot be dealt in
+    arbitrary order; NULL comes after every value.  The values are put in range
+    buckets by approximate quantiles, which stay in the plan (a one-row scalar
+    subquery with a sorted array, the same for every branch).  Each bucket
+    computes a local running sum in its own task; the bucket totals (one row per
+    bucket) give the offsets that are added back.
     """
-    spark = df.sparkSession
-    n = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), 64)
-    probs = [i / float(n) for i in range(1, n)] or [0.5]
-    # At most n-1 quantile bounds (bounded metadata, like a range
-    # partitioner's sample) are fetched once and used as literals.
-    bounds = df.agg(F.percentile_approx(F.col(order_col), probs, 10000)).first()[0] or []
-    bucket = F.lit(0)
-    for b in sorted(set(bounds)):
-        bucket = bucket + (F.lit(b) < F.col(order_col)).cast("int")
-    tagged = df.withColumn("__b", bucket)
-    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    local_w = (Window.partitionBy("__b").orderBy(order)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = tagged.select("*", *[F.sum(v).over(local_w).alias(f"__l_{v}") for v in value_cols])
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = df.groupBy(order_col).agg(*[F.sum(v).alias(v) for v in value_cols])
+    probabilities = [i / n for i in range(1, n)] or [0.5]
+    quantiles = F.array_distinct(F.percentile_approx(order_col, probabilities, 10000)).alias("b")
+    # the sums are asked for so that this subquery reads the same exchange as the branches
+    row = values.agg(F.struct(quantiles, *[F.sum(v).alias(f"s{i}") for i, v in enumerate(value_cols)]).alias("r"))
+    bounds = row.scalar().getField("b")
+    kind = values.schema[order_col].dataType.simpleString()
+    held = values.withColumn("__bounds", F.coalesce(bounds, F.array().cast(f"array<{kind}>")))
+    below = F.size(F.filter("__bounds", lambda b: b < F.col(order_col)))
+    # NULL compares with nothing: it gets the bucket after the last, on the order's far side
+    far = F.lit(-1) if descending else F.lit(n)
+    tagged = held.withColumn("__b", F.when(F.col(order_col).isNull(), far).otherwise(below)).drop("__bounds")
+    order = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
+    inside = Window.partitionBy("__b").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = tagged.select("*", *[F.sum(v).over(inside).alias(f"__l_{v}") for v in value_cols])
     totals = tagged.groupBy("__b").agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
-    border = F.col("__b").desc() if descending else F.col("__b").asc()
-    before = Window.orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__b", *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0))
-                                     .alias(f"__o_{v}") for v in value_cols])
-    out = local.join(F.broadcast(offsets), "__b")
-    return out.select(*df.columns, *[(F.col(f"__l_{v}") + F.col(f"__o_{v}")).alias(f"{v}{suffix}")
+    along = F.col("__b").desc() if descending else F.col("__b").asc()
+    before = Window.orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__b", *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0)).alias(f"__o_{v}")
                                      for v in value_cols])
+    out = local.join(F.broadcast(offsets), "__b")  # at most n + 1 rows
+    return out.select(*values.columns, *[(F.col(f"__l_{v}") + F.col(f"__o_{v}")).alias(f"{v}{suffix}")
+                                         for v in value_cols])
 
 
-def score_counts(scored: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score (partial aggregation first)."""
-    return scored.groupBy(F.col(score).alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"),
-        F.count_if(F.col(label) != 1).alias("neg"))
+def outcome_counts(scored: DataFrame, label: str, prediction: str, score: str) -> DataFrame:
+    """``(score, label, prediction, n)``: the only pass over the scored rows."""
+    return scored.groupBy(F.col(score).cast("double").alias("score"), F.col(label).alias("label"),
+                          F.col(prediction).alias("prediction")).agg(F.count("*").alias("n"))
 
 
-def auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Exact ``(auc_roc, auc_pr)`` by trapezoids over all distinct scores.
+def areas(counts: DataFrame) -> DataFrame:
+    """Exact ``(auc_roc, auc_pr)`` of ``(score, label, n)`` by trapezoids over all distinct scores.
 
     ROC starts at (0,0); PR starts at (0, precision of the top threshold),
     as in MLlib's binary metrics without down-sampling.
     """
-    cum = prefix_sums(score_counts(scored, label, score), "score", ["pos", "neg"])
+    sides = counts.select("score", F.when(F.col("label") == 1, F.col("n")).otherwise(0).alias("pos"),
+                          F.when(F.col("label") == 1, 0).otherwise(F.col("n")).alias("neg"))
+    cum = prefix_sums(sides, "score", ["pos", "neg"])
     tp, fp = F.col("pos_cum").cast("double"), F.col("neg_cum").cast("double")
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     prec = tp / (tp + fp)
@@ -80,6 +88,11 @@ def auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFr
         F.try_divide(F.col("pr_area"), F.col("P").cast("double")).alias("auc_pr"))
 
 
+def auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """``(auc_roc, auc_pr)`` of scored rows."""
+    return areas(outcome_counts(scored, label, label, score))
+
+
 def confusion(pred: DataFrame, label: str = "label", prediction: str = "prediction",
               count_name: str = "count") -> DataFrame:
     """``(label, prediction, count)``; cells with no rows are not emitted."""
@@ -93,7 +106,11 @@ def per_class_metrics(pred: DataFrame, label: str = "label",
     Built from the confusion counts (at most k x k rows), so the input is
     scanned once.
     """
-    conf = confusion(pred, label, prediction, "n")
+    return class_metrics(confusion(pred, label, prediction, "n"), label, prediction)
+
+
+def class_metrics(conf: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Per-class metrics of ``(label, prediction, n)`` counts."""
     long = conf.select(
         F.stack(F.lit(2),
                 F.col(label).cast("double"), F.col("n"), F.lit(0).cast("long"),
@@ -112,28 +129,32 @@ def per_class_metrics(pred: DataFrame, label: str = "label",
                       p.alias("precision"), r.alias("recall"), f1.alias("f1"))
 
 
-def classification_summary(pred: DataFrame, label: str = "label",
-                           prediction: str = "prediction") -> DataFrame:
+def overall(classes: DataFrame) -> DataFrame:
     """One row: accuracy and weighted F1 (MLlib's ``f1``: F1 per true class
-    weighted by its share of rows)."""
-    pc = per_class_metrics(pred, label, prediction)
-    return pc.agg(
+    weighted by its share of rows) of per-class metrics."""
+    return classes.agg(
         F.try_divide(F.sum("tp").cast("double"), F.sum("support")).alias("accuracy"),
         F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support").cast("double"))
         .alias("f1"))
 
 
+def classification_summary(pred: DataFrame, label: str = "label",
+                           prediction: str = "prediction") -> DataFrame:
+    return overall(per_class_metrics(pred, label, prediction))
+
+
 def binary_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction",
                    score: str = "score") -> DataFrame:
     """``(accuracy, f1, auc_roc, auc_pr)`` in one row.
 
-    The two one-row aggregates are combined through a scalar subquery, not a
-    join.
+    Both halves read the same counts (one exchange, reused); the two one-row
+    aggregates are combined through a scalar subquery, not a join.
     """
-    summary = classification_summary(pred, label, prediction)
-    packed = summary.select(F.struct("accuracy", "f1")).scalar()
+    counts = outcome_counts(pred, label, prediction, score)
+    conf = counts.groupBy("label", "prediction").agg(F.sum("n").alias("n"))
+    packed = overall(class_metrics(conf)).select(F.struct("accuracy", "f1")).scalar()
     # The struct is one column first, so the subquery runs once.
-    both = auc(pred, label, score).select(packed.alias("__s"), "auc_roc", "auc_pr")
+    both = areas(counts).select(packed.alias("__s"), "auc_roc", "auc_pr")
     return both.select(F.col("__s.accuracy").alias("accuracy"), F.col("__s.f1").alias("f1"),
                        "auc_roc", "auc_pr")
 

@@ -81,3 +81,35 @@ def test_soft_vote(spark):
     out = metrics.soft_vote(df, ["a", "b", "c"]).select("prediction").collect()
     assert [r.prediction for r in out] == [0.0, 1.0]
 
+
+
+def test_null_scores_count_as_lowest_everywhere(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.randint(0, 1), None if i % 10 == 0 else round(rnd.random(), 2)) for i in range(100)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    filled = [(y, -1.0 if s is None else s) for y, s in rows]
+    got = metrics.auc(df).first()
+    assert abs(got.auc_roc - _brute_auc(filled)) < 1e-9 and abs(got.auc_pr - _brute_pr(filled)) < 1e-9
+    for r in metrics.threshold_sweep(df, steps=10).collect():
+        assert r.tp + r.fp + r.fn + r.tn == 100
+    cum = metrics.prefix_sums(df.withColumn("n", F.lit(1)), "score", ["n"]).collect()
+    assert max(r.n_cum for r in cum) == 100 and [r.n_cum for r in cum if r.score is None] == [100]
+
+
+def test_prefix_sums_over_many_buckets_ties_and_upwards(spark):
+    rows = [(float(i % 400), 1) for i in range(2000)] + [(None, 3)]
+    df = spark.createDataFrame(rows, "x double, v long")
+    up = {r.x: r.v_cum for r in metrics.prefix_sums(df, "x", ["v"], descending=False, buckets=200).collect()}
+    assert all(up[float(k)] == 5 * (k + 1) for k in range(400)) and up[None] == 2003
+
+
+def test_building_binary_metrics_runs_no_job(spark):
+    df = spark.createDataFrame([(1, 1.0, 0.9), (0, 0.0, 0.2)], "label int, prediction double, score double")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("t-build", "plan building")
+    try:
+        built = metrics.binary_metrics(df)
+        assert not tracker.getJobIdsForGroup("t-build")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert built.first().accuracy == 1.0
