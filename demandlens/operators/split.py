@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+DRAW_BITS = 60
 
 
 def hash_key(keys: Sequence[str], seed: int = 42) -> Column:
@@ -20,16 +20,23 @@ def hash_key(keys: Sequence[str], seed: int = 42) -> Column:
     return F.concat_ws("|", *[F.col(k) for k in keys], F.lit(str(seed)))
 
 
-def hash_bucket(keys: Sequence[str], seed: int = 42) -> Column:
-    """First byte of ``md5(key|seed)``: a bucket in 0..255."""
-    return F.conv(F.substring(F.md5(hash_key(keys, seed)), 1, 2), 16, 10).cast("int")
+def hash_draw(keys: Sequence[str], seed: int = 42) -> Column:
+    """The first 60 bits of ``md5(key|seed)``: an even draw in ``0 .. 2**60 - 1``."""
+    return F.conv(F.substring(F.md5(hash_key(keys, seed)), 1, DRAW_BITS // 4), 16, 10).cast("long")
 
 
 def split_column(keys: Sequence[str], train_fraction: float = 0.7, seed: int = 42,
                  name: str = "split") -> Column:
-    """``'train'`` for buckets below ``round(fraction * 256)``, else ``'test'``."""
-    cut = int(round(train_fraction * BUCKETS))
-    return F.when(hash_bucket(keys, seed) < F.lit(cut), F.lit("train")).otherwise(F.lit("test")).alias(name)
+    """``'train'`` for draws below ``fraction * 2**60``, else ``'test'``."""
+    if not 0 <= train_fraction <= 1:
+        raise ValueError("train_fraction must be between 0 and 1")
+    return F.when(hash_draw(keys, seed) < F.lit(draw_cut(train_fraction)), F.lit("train")) \
+        .otherwise(F.lit("test")).alias(name)
+
+
+def draw_cut(fraction: float) -> int:
+    """The draw at which a part of this share ends."""
+    return int(round(fraction * (1 << DRAW_BITS)))
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], train_fraction: float = 0.7,

@@ -51,3 +51,16 @@ def test_balanced_class_weights(spark):
     df = spark.createDataFrame([(1,), (0,), (0,), (0,)], "high_demand int")
     w = {r.high_demand: r.weight for r in with_class_weights(df).collect()}
     assert abs(w[1] - 2.0) < 1e-12 and abs(w[0] - 4 / 6) < 1e-12
+
+
+def test_every_fraction_is_met(spark):
+    df = spark.range(0, 20000).select(F.col("id").cast("string").alias("k"))
+    for fraction in (0.0, 0.001, 0.5, 0.999, 1.0):
+        train, test = hash_split(df, ["k"], fraction)
+        n = train.count()
+        assert n + test.count() == 20000
+        assert abs(n - 20000 * fraction) <= 5 * (20000 * fraction * (1 - fraction)) ** 0.5
+    import pytest
+
+    with pytest.raises(ValueError):
+        hash_split(df, ["k"], 1.5)
