@@ -27,12 +27,13 @@ def drop_sentinel(df: DataFrame, cols: Sequence[str], sentinel: str = SENTINEL)
 def counts_by(df: DataFrame, keys: Sequence, count_name: str = "posting_count",
               distinct: Mapping[str, str] | None = None, exclude: Sequence[str] = (),
               sentinel: str = SENTINEL, approx: bool = False,
-              prededupe: bool = False) -> DataFrame:
+              prededupe: bool = False, extra: Sequence = ()) -> DataFrame:
     """``GROUP BY keys`` with ``COUNT(*)`` and ``COUNT(DISTINCT col)`` measures.
 
     ``keys`` may hold names or ``(alias, Column)`` pairs (e.g. ``to_date``).
     ``exclude`` names the columns whose sentinel rows are filtered first; the
     distinct measures still count the sentinel as a value of other columns.
+    ``extra`` adds further aggregates to the same pass.
     ``approx=True`` switches distinct counts to HyperLogLog++ (opt-in).
     ``prededupe=True`` first counts rows per (keys, distinct columns) and then
     sums those counts and counts distinct values over the smaller frame (same
@@ -40,7 +41,7 @@ def counts_by(df: DataFrame, keys: Sequence, count_name: str = "posting_count",
     """
     src = drop_sentinel(df, exclude, sentinel)
     group_cols = [F.col(k) if isinstance(k, str) else k[1].alias(k[0]) for k in keys]
-    if prededupe and distinct and not approx:
+    if prededupe and distinct and not approx and not extra:
         names = [k if isinstance(k, str) else k[0] for k in keys]
         cols = list(dict.fromkeys(distinct.values()))
         level1 = src.groupBy(*group_cols, *[F.col(c) for c in cols]).agg(
@@ -52,7 +53,7 @@ def counts_by(df: DataFrame, keys: Sequence, count_name: str = "posting_count",
     for name, col in (distinct or {}).items():
         fn = F.approx_count_distinct if approx else F.count_distinct
         measures.append(fn(F.col(col)).alias(name))
-    return src.groupBy(*group_cols).agg(*measures)
+    return src.groupBy(*group_cols).agg(*measures, *extra)
 
 
 def top_positions_global(clean: DataFrame) -> DataFrame:

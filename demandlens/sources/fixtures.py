@@ -20,6 +20,12 @@ from pyspark.sql import functions as F
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# Column order of the landed postings and of the enriched table.
+POSTING_COLUMNS = ("job_link", "last_processed_time", "got_summary", "got_ner", "is_being_worked", "job_title",
+                   "company", "job_location", "first_seen", "search_city", "search_country", "search_position",
+                   "job_level", "job_type")
+ENRICHED_COLUMNS = (*POSTING_COLUMNS, "job_skills", "job_summary")
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one driver table (filters and columns push down)."""
