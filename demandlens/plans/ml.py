@@ -1,73 +1,171 @@
 """Train, tune, evaluate and score: the MLlib queries.
 
-The ML set is written once per run (train / test Parquet in the shared
-checkpoint folder, which also cuts the long lineage of the aggregation plan)
-and read back cached, because cross-validation scans it many times.  Fitted
-best models are saved and loaded back for batch scoring.  Model metadata
-(grid scores, importances, metrics: tens of rows) is the only thing built
-on the driver.
-
-Registered queries use the compact two-point grids so a verification run
-stays short; ``grid="full"`` runs the reference's 27-point grids.
+``Run`` is one training run over one ML set.  The set is written once by split in
+the shared scratch folder (which cuts the long lineage of the aggregation plan)
+and read back cached, because cross-validation scans it many times.  Every
+classifier is tuned over its whole grid, saved and loaded back; the loaded models
+score the test part once, and that scored table, written too, is what all metrics
+read.  Model metadata (grid scores, importances) is all that is built on the
+driver.  ``close`` releases what a run holds.
+
+The registered queries share the run of their input.  An input is told apart by
+its files' names, sizes and times, so a changed folder is trained anew, and the
+run of the former is closed.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlens.ml import models as mdl
-from demandlens.ml.features import LABEL, feature_stages
+from demandlens.ml.features import ASSEMBLED, LABEL, NUMERIC, SCALED, feature_stages, slot_names
 from demandlens.ml.importance import feature_importance
-from demandlens.ml.score import ENSEMBLE_MEMBERS, score_with
+from demandlens.ml.score import ENSEMBLE_MEMBERS, ENSEMBLE_THRESHOLD, score_with
+from demandlens.operators import metrics
 from demandlens.plans import mlprep
 from demandlens.session import scratch_dir
-from demandlens.sources.files import write_table
+from demandlens.sources import fixtures as fx
 
-GRID = "compact"
-_MEMO: dict = {}
+SCORED = (*mdl.MODEL_NAMES, "ensemble")
 
 
-def _key(spark: SparkSession, *parts):
-    return (spark.sparkContext.applicationId,) + parts
-
-
-def splits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Train / test parts, written once and read back cached."""
-    key = _key(spark, "splits", sf)
-    if key not in _MEMO:
-        train, test = mlprep.prepare_dataset(spark, sf)
-        base = scratch_dir(spark, "mlset")
-        tr = spark.read.parquet(write_table(train, base, "dataset_train")).cache()
-        te = spark.read.parquet(write_table(test, base, "dataset_test")).cache()
-        _MEMO[key] = (tr, te)
-    return _MEMO[key]
-
-
-def trained(spark: SparkSession, sf: str, name: str, grid=GRID):
-    """Cross-validated best model for ``name``: fitted, saved, loaded back."""
-    key = _key(spark, "model", sf, name, str(grid))
-    if key not in _MEMO:
-        train, _ = splits(spark, sf)
-        cv_model, maps, clf = mdl.tune(name, train, grid)
-        path = scratch_dir(spark, f"model-{name}")
-        cv_model.bestModel.write().overwrite().save(path)
-        _MEMO[key] = (cv_model, maps, clf, PipelineModel.load(path))
-    return _MEMO[key]
+def all_of(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union by name of at least one table."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
-def _train_row(spark, sf, name, grid=GRID) -> DataFrame:
-    cv_model, maps, clf, model = trained(spark, sf, name, grid)
-    _, test = splits(spark, sf)
-    m = mdl.evaluate(model.transform(test))
-    params = ",".join(f"{k}={mdl._param_value(v)}" for k, v in sorted(mdl.best_params(cv_model, clf).items()))
-    row = (name, params, float(max(cv_model.avgMetrics)), m["accuracy"], m["f1"], m["auc_roc"], m["auc_pr"])
-    return spark.createDataFrame([row], "model string, best_params string, cv_f1 double, "
-                                 "accuracy double, f1 double, auc_roc double, auc_pr double")
+class Run:
+    """A training run: splits, tuned models, and the test part scored by all of them."""
+
+    def __init__(self, data: DataFrame, base: str, grids: Mapping[str, Mapping] | None = None):
+        """``data`` has a ``split`` column; ``grids`` replaces the classifiers' own grids by name."""
+        self.spark, self.base, self.grids = data.sparkSession, base.rstrip("/"), dict(grids or {})
+        self.train, self.test = (part.cache() for part in mlprep.write_parts(data, f"{self.base}/dataset"))
+        self._tuned: dict[str, mdl.Tuned] = {}
+        self._loaded: dict[str, PipelineModel] = {}
+        self._scored: DataFrame | None = None
+
+    def close(self) -> None:
+        self.train.unpersist()
+        self.test.unpersist()
+
+    def tuned(self, name: str) -> mdl.Tuned:
+        if name not in self._tuned:
+            self._tuned[name] = mdl.tune(name, self.train, grid=self.grids.get(name))
+        return self._tuned[name]
+
+    def all_tuned(self) -> list[mdl.Tuned]:
+        return [self.tuned(name) for name in mdl.MODEL_NAMES]
+
+    def model(self, name: str) -> PipelineModel:
+        """The best model as saved and loaded back."""
+        if name not in self._loaded:
+            path = f"{self.base}/models/{name}"
+            self.tuned(name).model.write().overwrite().save(path)
+            self._loaded[name] = PipelineModel.load(path)
+        return self._loaded[name]
+
+    def models(self) -> dict[str, PipelineModel]:
+        return {name: self.model(name) for name in mdl.MODEL_NAMES}
+
+    def scored(self) -> DataFrame:
+        """The test part with every model's prediction, probability and margin, and the ensemble's."""
+        if self._scored is None:
+            path = f"{self.base}/scored_test"
+            score_with(self.models(), self.test, margins=True).write.mode("overwrite").parquet(path)
+            self._scored = self.spark.read.parquet(path)
+        return self._scored
+
+    def metrics_of(self, name: str) -> DataFrame:
+        """One row: accuracy, weighted F1 and both curve areas on the test part.
+
+        A model's curves are drawn from its margin, the ensemble's from its mean probability.
+        """
+        score = "prob_ensemble" if name == "ensemble" else f"margin_{name}"
+        row = metrics.binary_metrics(self.scored(), LABEL, f"pred_{name}", score)
+        return row.select(F.lit(name).alias("model"), *row.columns)
+
+    def model_metrics(self) -> DataFrame:
+        return all_of([self.metrics_of(name) for name in SCORED])
+
+    def confusions(self) -> DataFrame:
+        """``(model, label, prediction, count)`` of every model and the ensemble."""
+        return all_of([metrics.confusion(self.scored().select(F.col(LABEL).alias("label"),
+                                                              F.col(f"pred_{name}").alias("prediction")))
+                       .select(F.lit(name).alias("model"), "label", "prediction", "count") for name in SCORED])
+
+    def class_metrics(self) -> DataFrame:
+        """Per model and class: support, predicted, tp, precision, recall, F1."""
+        parts = []
+        for name in SCORED:
+            part = metrics.per_class_metrics(self.scored(), LABEL, f"pred_{name}")
+            parts.append(part.select(F.lit(name).alias("model"), *part.columns))
+        return all_of(parts)
+
+    def importances(self) -> DataFrame:
+        found = (feature_importance(self.model(name), self.test, name) for name in mdl.MODEL_NAMES)
+        table = all_of([part for part in found if part is not None])
+        return table.orderBy("model", F.col("importance").desc(), "feature")
+
+    def ensemble_info(self) -> DataFrame:
+        row = [("|".join(ENSEMBLE_MEMBERS), ENSEMBLE_THRESHOLD, "mean of member probabilities")]
+        return self.spark.createDataFrame(row, "members string, threshold double, rule string")
+
+    def predictions(self) -> DataFrame:
+        """Held-out sample and what-if rows with every model's class and probability."""
+        rows = score_with(self.models(), mlprep.whatif_rows(self.test))
+        shown = [f"{kind}_{name}" for name in SCORED for kind in ("pred", "prob")]
+        return (rows.select("source", *mlprep.GROUP_KEYS, F.col(LABEL).alias("true_label"), *shown)
+                .orderBy("source", *mlprep.GROUP_KEYS))
+
+    def artefacts(self) -> dict[str, DataFrame]:
+        """Every result table of the run by name."""
+        return {"model_metrics": self.model_metrics(), "best_params": mdl.best_params_table(self.spark, self.all_tuned()),
+                "cv_grid": mdl.cv_grid_table(self.spark, self.all_tuned()), "feature_importance": self.importances(),
+                "confusion": self.confusions(), "per_class_metrics": self.class_metrics(),
+                "ensemble_info": self.ensemble_info(), "predictions": self.predictions()}
+
+
+_runs: dict[str, tuple[str, Run]] = {}
+
+
+def fingerprint(spark: SparkSession, sf: str) -> str:
+    """Application, and names, sizes and times of the input's files (file-system metadata only)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for table in fx.TABLES:
+        for f in files.listStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/{table}.parquet")):
+            found.append(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+    return "|".join([spark.sparkContext.applicationId, *sorted(found)])
+
+
+def run_of(spark: SparkSession, sf: str) -> Run:
+    """The run over this input; a changed input gets a new one."""
+    mark = fingerprint(spark, sf)
+    known = _runs.get(sf)
+    if known is None or known[0] != mark:
+        if known is not None and known[0].split("|")[0] == spark.sparkContext.applicationId:
+            known[1].close()
+        _runs[sf] = (mark, Run(mlprep.dataset(spark, sf), scratch_dir(spark, "ml-run")))
+    return _runs[sf][1]
+
+
+def _train_row(spark, sf, name) -> DataFrame:
+    run = run_of(spark, sf)
+    best = mdl.best_params_table(spark, [run.tuned(name)]).drop("model").collect()[0]  # one row of metadata
+    row = run.metrics_of(name)
+    return row.select("model", F.lit(best[0]).alias("best_params"), F.lit(best[1]).alias("cv_f1"),
+                      *row.columns[1:])
 
 
 def q_train_rf(spark, sf):
@@ -86,71 +184,89 @@ def q_train_nb(spark, sf):
     return _train_row(spark, sf, "nb")
 
 
+def slot_values(features: DataFrame) -> DataFrame:
+    """One row per (group, slot) of the numeric slots and of the one-hot slots that are set."""
+    pair = F.arrays_zip(vector_to_array(ASSEMBLED).alias("raw"), vector_to_array(SCALED).alias("scaled"))
+    long = features.select(*mlprep.GROUP_KEYS, F.posexplode(pair).alias("slot", "v"))
+    return (long.where((F.col("slot") < len(NUMERIC)) | (F.col("v.raw") != 0))
+            .select(*mlprep.GROUP_KEYS, "slot", F.round("v.raw", mlprep.REPORT_DECIMALS).alias("raw_value"),
+                    F.round("v.scaled", mlprep.REPORT_DECIMALS).alias("scaled_value")))
+
+
 def q_encode_features(spark, sf):
-    """Indexed, one-hot, assembled and std-scaled features of the test part."""
-    train, test = splits(spark, sf)
-    from pyspark.ml import Pipeline
+    """Indexed, one-hot, assembled and std-scaled features of the test part, encoders fitted on train."""
+    run = run_of(spark, sf)
+    return slot_values(Pipeline(stages=feature_stages(scale=True)).fit(run.train).transform(run.test))
+
 
-    fitted = Pipeline(stages=feature_stages(scaler="standard")).fit(train)
-    out = fitted.transform(test)
-    return out.select("search_country", "search_position", LABEL,
-                      vector_to_array("raw_features").alias("raw_features"),
-                      vector_to_array("features").alias("scaled_features"))
+def q_nb_parameters(spark, sf):
+    """Log-probabilities of a multinomial naive Bayes model: ``(label, slot, log_theta)``."""
+    run = run_of(spark, sf)
+    bayes = NaiveBayes(labelCol=LABEL, featuresCol=ASSEMBLED, modelType="multinomial", smoothing=1.0)
+    theta = Pipeline(stages=[*feature_stages(), bayes]).fit(run.train).stages[-1].theta.toArray()
+    rows = [(label, slot, round(float(v), mlprep.REPORT_DECIMALS))
+            for label, values in enumerate(theta) for slot, v in enumerate(values)]
+    return spark.createDataFrame(rows, "label int, slot int, log_theta double")
 
 
 def q_cv_grid(spark, sf):
-    out = None
-    for name in mdl.MODEL_NAMES:
-        cv_model, maps, clf, _ = trained(spark, sf, name)
-        part = mdl.cv_grid_table(spark, name, cv_model, maps, clf)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return mdl.cv_grid_table(spark, run_of(spark, sf).all_tuned())
 
 
 def q_feature_importance(spark, sf):
-    _, test = splits(spark, sf)
-    out = None
-    for name in mdl.MODEL_NAMES:
-        part = feature_importance(trained(spark, sf, name)[3], test, name)
-        if part is not None:
-            out = part if out is None else out.unionByName(part)
-    return out
-
-
-def fitted_models(spark, sf, grid=GRID) -> dict:
-    return {name: trained(spark, sf, name, grid)[3] for name in mdl.MODEL_NAMES}
+    return run_of(spark, sf).importances()
 
 
 def q_model_metrics(spark, sf):
     """One row per model plus the soft-vote ensemble, evaluated on test."""
-    _, test = splits(spark, sf)
-    models = fitted_models(spark, sf)
-    rows = []
-    for name, model in models.items():
-        m = mdl.evaluate(model.transform(test))
-        rows.append((name, m["accuracy"], m["f1"], m["auc_roc"], m["auc_pr"]))
-    scored = score_with(models, test, ENSEMBLE_MEMBERS).withColumn(
-        "prediction", F.col("pred_ensemble").cast("double"))
-    m = mdl.evaluate(scored, raw_col="prob_ensemble")
-    rows.append(("ensemble", m["accuracy"], m["f1"], m["auc_roc"], m["auc_pr"]))
-    rows = [tuple(None if isinstance(v, float) and math.isnan(v) else v for v in r) for r in rows]
-    return spark.createDataFrame(rows, "model string, accuracy double, f1 double, "
-                                 "auc_roc double, auc_pr double")
+    return run_of(spark, sf).model_metrics()
+
+
+def q_model_confusion(spark, sf):
+    return run_of(spark, sf).confusions()
+
+
+def q_model_checks(spark, sf):
+    """Per model what must hold for any fit, counted on the scored test part.
+
+    Test rows and positives as the model's confusion counts add up to them, rows
+    whose probability lies in 0..1, rows on which the loaded model predicts as
+    the fitted one, rows on which the ensemble is the members' mean at the
+    threshold, the number of vector slots and the sum of the importances.
+    """
+    run = run_of(spark, sf)
+    scored = run.scored()
+    mean = sum((F.col(f"prob_{m}") for m in ENSEMBLE_MEMBERS), F.lit(0.0)) / len(ENSEMBLE_MEMBERS)
+    vote = F.col("pred_ensemble") == (mean >= ENSEMBLE_THRESHOLD).cast("int")
+    votes = scored.agg(F.count_if(vote).alias("v")).scalar()
+    parts = []
+    for name in mdl.MODEL_NAMES:
+        fitted = run.tuned(name).model
+        again = fitted.transform(scored).select(
+            "*", (F.col("prediction").cast("int") == F.col(f"pred_{name}")).alias("__same"))
+        counts = metrics.confusion(scored, LABEL, f"pred_{name}", "n")
+        totals = counts.agg(F.struct(F.sum("n").alias("rows"), F.sum(F.when(F.col(LABEL) == 1, F.col("n")).otherwise(0))
+                                     .alias("positives")).alias("t")).scalar()
+        features = PipelineModel(stages=fitted.stages[:-1]).transform(run.test)
+        weights = getattr(fitted.stages[-1], "featureImportances", None)
+        parts.append(again.agg(F.count_if(F.col(f"prob_{name}").between(0, 1)).alias("in_range"),
+                               F.count_if("__same").alias("reloaded_same")).select(
+            F.lit(name).alias("model"), totals.getField("rows").alias("confusion_total"),
+            totals.getField("positives").alias("confusion_positives"), "in_range", "reloaded_same",
+            votes.alias("vote_same"), F.lit(len(slot_names(features))).alias("slots"),
+            F.lit(None if weights is None else round(float(weights.values.sum()), 6)).cast("double")
+            .alias("importance_sum")))
+    return all_of(parts)
 
 
 def q_score_models(spark, sf):
     """Held-out sample + what-if rows scored by every saved model and the ensemble."""
-    _, test = splits(spark, sf)
-    rows = mlprep.whatif_rows(test)
-    scored = score_with(fitted_models(spark, sf), rows, ENSEMBLE_MEMBERS)
-    return (scored.select("source", "search_country", "search_position",
-                          F.col(LABEL).alias("true_label"),
-                          *[f"pred_{n}" for n in mdl.MODEL_NAMES], "pred_ensemble")
-            .orderBy("source", "search_country", "search_position"))
+    return run_of(spark, sf).predictions()
 
 
 QUERIES = {
     "encode_features": q_encode_features,
+    "nb_parameters": q_nb_parameters,
     "train_rf": q_train_rf,
     "train_gbt": q_train_gbt,
     "train_svm": q_train_svm,
@@ -158,5 +274,7 @@ QUERIES = {
     "cv_grid": q_cv_grid,
     "feature_importance": q_feature_importance,
     "model_metrics": q_model_metrics,
+    "model_confusion": q_model_confusion,
+    "model_checks": q_model_checks,
     "score_models": q_score_models,
 }

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from demandlens.functions.math import sigmoid
 from demandlens.operators import metrics
-from demandlens.operators.groups import GROUP_KEYS, filter_small_groups, group_features, ratio_features
+from demandlens.operators.groups import GROUP_KEYS, at_least, group_features, ratio_features
 from demandlens.operators.label import quantile_label
-from demandlens.operators.split import hash_bucket, sample_n, split_column
+from demandlens.operators.split import hash_draw, sample_n, split_column
 from demandlens.sources import fixtures as fx
 
 # Fixed values of the reference's preparation step.
@@ -45,7 +45,7 @@ def groups(spark: SparkSession, sf: str) -> DataFrame:
 
 def labelled(groups_df: DataFrame, min_count: int = MIN_POSTINGS_PER_GROUP,
              q: float = HIGH_DEMAND_QUANTILE) -> DataFrame:
-    kept = ratio_features(filter_small_groups(groups_df, min_count))
+    kept = ratio_features(at_least(groups_df, "group_count", min_count))
     return quantile_label(kept, "search_position", "group_count", q).select(*DATASET_COLUMNS)
 
 
@@ -59,14 +59,17 @@ def split_part(spark: SparkSession, sf: str, part: str) -> DataFrame:
     return dataset(spark, sf).where(F.col("split") == part).drop("split")
 
 
-def prepare_dataset(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Train and test parts; stops with an error if no group survives the
-    size filter (a one-row probe, not a count)."""
-    data = dataset(spark, sf)
-    if data.isEmpty():
-        raise RuntimeError("no (country, position) groups left after the size filter")
-    return (data.where(F.col("split") == "train").drop("split"),
-            data.where(F.col("split") == "test").drop("split"))
+def write_parts(data: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Train and test part of ``data``, written once under ``path`` by split and read back.
+
+    The plan of the groups runs once; each part then reads its own folder.
+    """
+    spark = data.sparkSession
+    data.write.mode("overwrite").partitionBy("split").parquet(path)
+    stored = spark.read.schema(data.schema).parquet(path)
+    if stored.isEmpty():
+        raise ValueError(f"every group has fewer than {MIN_POSTINGS_PER_GROUP} postings: nothing to learn from")
+    return tuple(stored.where(F.col("split") == part).drop("split") for part in ("train", "test"))
 
 
 # --- registered queries ----------------------------------------------------------------------
@@ -76,7 +79,7 @@ def q_group_features(spark, sf):
 
 
 def q_ratio_features(spark, sf):
-    return ratio_features(filter_small_groups(groups(spark, sf), MIN_POSTINGS_PER_GROUP))
+    return ratio_features(at_least(groups(spark, sf), "group_count", MIN_POSTINGS_PER_GROUP))
 
 
 def q_quantile_label(spark, sf):
@@ -85,7 +88,7 @@ def q_quantile_label(spark, sf):
 
 def q_hash_split(spark, sf):
     g = groups(spark, sf)
-    return g.select(*GROUP_KEYS, hash_bucket(GROUP_KEYS, SEED).alias("bucket"),
+    return g.select(*GROUP_KEYS, hash_draw(GROUP_KEYS, SEED).alias("draw"),
                     split_column(GROUP_KEYS, TRAIN_FRACTION, SEED))
 
 
@@ -93,14 +96,18 @@ def q_ml_dataset(spark, sf):
     return dataset(spark, sf)
 
 
+def class_distribution(data: DataFrame) -> DataFrame:
+    """Rows per label and split."""
+    return data.groupBy("high_demand", "split").agg(F.count("*").alias("count"))
+
+
 def q_class_distribution(spark, sf):
-    return (dataset(spark, sf).groupBy("high_demand", "split")
-            .agg(F.count(F.lit(1)).alias("count")))
+    return class_distribution(dataset(spark, sf))
 
 
-def q_prepare_summary(spark, sf):
+def prepare_summary(grouped: DataFrame) -> DataFrame:
     """One-row run summary; all counts from one pass over the group table."""
-    g = groups(spark, sf).withColumn("split", split_column(GROUP_KEYS, TRAIN_FRACTION, SEED))
+    g = grouped.withColumn("split", split_column(GROUP_KEYS, TRAIN_FRACTION, SEED))
     kept = F.col("group_count") >= F.lit(MIN_POSTINGS_PER_GROUP)
     return g.agg(
         F.count(F.lit(1)).alias("rows_before_filter"),
@@ -114,6 +121,10 @@ def q_prepare_summary(spark, sf):
              F.lit(SEED).alias("split_seed"))
 
 
+def q_prepare_summary(spark, sf):
+    return prepare_summary(groups(spark, sf))
+
+
 def q_sample_n(spark, sf):
     return sample_n(split_part(spark, sf, "test"), GROUP_KEYS, N_SAMPLE, SEED)
 
@@ -140,7 +151,9 @@ def whatif_rows(test: DataFrame, scenarios=SCENARIOS, n_sample: int = N_SAMPLE,
     rows = spark.createDataFrame(list(scenarios), "search_country string, search_position string")
     crafted = rows.select(
         *[F.col(c) for c in GROUP_KEYS],
-        *[med.getField(c).alias(c) for c in DATASET_COLUMNS if c in MEDIAN_COLUMNS],
+        # an empty test part has no medians: 0, in the column's type
+        *[F.coalesce(med.getField(c), F.lit(0).cast(test.schema[c].dataType)).alias(c)
+          for c in DATASET_COLUMNS if c in MEDIAN_COLUMNS],
         F.lit(0).alias("high_demand"), F.lit("crafted").alias("source"),
     ).select(*DATASET_COLUMNS, "source")
     return held.select(*DATASET_COLUMNS, "source").unionByName(crafted)

@@ -1,27 +1,148 @@
+"""Feature stages, classifiers and a whole training run, with one-point grids so that the tests stay short."""
+
+import math
+
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
-from demandlens.ml.features import slot_names
+from conftest import SF_SMALL
+from demandlens.ml import models as mdl
+from demandlens.ml.features import ASSEMBLED, LABEL, NUMERIC, SCALED, feature_stages, slot_names
 from demandlens.plans import ml as mlplan
-from demandlens.ml.score import score_with
+from demandlens.plans import mlprep
+from demandlens.session import scratch_dir
+
+POINT = {"rf": {"numTrees": [5], "maxDepth": [3]}, "gbt": {"maxIter": [3], "maxDepth": [2]},
+         "svm": {"regParam": [0.1], "maxIter": [5]}, "nb": {"modelType": ["multinomial", "complement"]}}
+
+
+def small_set(spark, rows=240):
+    """A learnable ML set: the label follows two of the ratios."""
+    i = F.col("id")
+    return spark.range(rows).select(
+        F.concat(F.lit("c"), i % 4).alias("search_country"), F.concat(F.lit("p"), i % 15).alias("search_position"),
+        (i % 9 + 5).alias("group_count"), (i % 4 + 1).alias("distinct_companies"),
+        (i % 3 + 1).alias("distinct_job_levels"), (i % 2 + 1).alias("distinct_job_types"),
+        ((i % 5) / 4).alias("summary_coverage"), (i % 6 + 1).alias("distinct_skills"),
+        ((i % 6 + 1) / 5).alias("skills_per_posting"), ((i % 4 + 1) / 5).alias("companies_per_posting"),
+        ((i % 6 + i % 4) > 5).cast("int").alias("high_demand"),
+        F.when(i % 10 < 7, "train").otherwise("test").alias("split"))
+
+
+@pytest.fixture(scope="module")
+def run(spark):
+    out = mlplan.Run(small_set(spark), scratch_dir(spark, "t-run"), POINT)
+    yield out
+    out.close()
+
+
+def test_every_classifier_searches_its_whole_grid_by_default():
+    assert [len(mdl.CLASSIFIERS[n].points()) for n in mdl.MODEL_NAMES] == [27] * 4
+    assert mdl.shown({"thresholds": [0.3, 0.7], "smoothing": 1.0}) == "smoothing=1.0,thresholds=0.3|0.7"
+
+
+def test_grid_tables(spark, run):
+    grid = mdl.cv_grid_table(spark, run.all_tuned()).collect()
+    assert len(grid) == sum(math.prod(map(len, g.values())) for g in POINT.values())
+    best = {r.model: r for r in mdl.best_params_table(spark, run.all_tuned()).collect()}
+    for name in mdl.MODEL_NAMES:
+        top = max(r.mean_f1 for r in grid if r.model == name)
+        assert best[name].cv_f1 == top and 0 <= top <= 1
+
+
+def test_metrics_of_fitted_models_agree_with_mllib(spark, run):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+
+    got = {r.model: r for r in run.model_metrics().collect()}
+    assert set(got) == set(mlplan.SCORED)
+    for name in mdl.MODEL_NAMES:
+        pred = run.model(name).transform(run.test)
+        for metric in ("accuracy", "f1"):
+            want = MulticlassClassificationEvaluator(labelCol=LABEL, metricName=metric).evaluate(pred)
+            assert abs(got[name][metric] - want) < 1e-9
+        want = BinaryClassificationEvaluator(labelCol=LABEL, numBins=0).evaluate(pred)
+        assert abs(got[name].auc_roc - want) < 1e-9
+    assert got["gbt"].accuracy > 0.6
+
+
+def test_confusions_and_class_metrics_cover_the_test_part(run):
+    rows, total = run.confusions().collect(), run.test.count()
+    for name in mlplan.SCORED:
+        assert sum(r["count"] for r in rows if r.model == name) == total
+    per = run.class_metrics().where("model = 'rf'").collect()
+    assert sum(r.support for r in per) == total
+
+
+def test_ensemble_is_the_members_mean(run):
+    for r in run.scored().collect():
+        mean = (r.prob_rf + r.prob_gbt + r.prob_svm) / 3
+        assert abs(mean - r.prob_ensemble) < 1e-12 and r.pred_ensemble == int(mean >= 0.5)
+        assert all(0 <= r[f"prob_{n}"] <= 1 for n in mdl.MODEL_NAMES)
+
+
+def test_loaded_models_predict_as_the_fitted(run):
+    for name in mdl.MODEL_NAMES:
+        fitted = [r.prediction for r in run.tuned(name).model.transform(run.test).orderBy(*run.test.columns).collect()]
+        loaded = [r.prediction for r in run.model(name).transform(run.test).orderBy(*run.test.columns).collect()]
+        assert fitted == loaded
+
+
+def test_importances_are_named_and_sum_to_one(run):
+    rows = run.importances().collect()
+    for name in ("rf", "gbt"):
+        mine = {r.feature: r.importance for r in rows if r.model == name}
+        assert abs(sum(mine.values()) - 1) < 1e-9 and set(NUMERIC) <= set(mine)
+        assert any(f.endswith("__unknown") for f in mine)
+    assert {r.model for r in rows} == {"rf", "gbt"}
+
+
+def test_predictions_carry_probabilities(run):
+    rows = run.predictions().collect()
+    assert {r.source for r in rows} == {"held_out", "crafted"}
+    assert all(0 <= r[f"prob_{n}"] <= 1 for r in rows for n in mlplan.SCORED)
+
+
+def test_features_slots_and_scaling(spark, run):
+    fitted = Pipeline(stages=feature_stages(scale=True)).fit(run.train)
+    out = fitted.transform(run.test)
+    names = slot_names(out)
+    row = out.select(ASSEMBLED, SCALED).first()
+    assert len(names) == row[0].size == row[1].size == len(NUMERIC) + 4 + 1 + 15 + 1
+    unseen = run.test.withColumn("search_country", F.lit("nowhere"))
+    slots = PipelineModel(stages=fitted.stages[:-1]).transform(unseen).select(ASSEMBLED).first()[0]
+    assert slots[len(NUMERIC) + 4] == 1.0
+
+
+def test_blank_and_null_keys_are_told_apart(spark):
+    df = small_set(spark).drop("split").withColumn("search_country", F.when(F.col("group_count") > 8, "").otherwise("c"))
+    fitted = Pipeline(stages=feature_stages()).fit(df)
+    assert any(n.endswith("(blank)") for n in slot_names(fitted.transform(df)).values())
+
 
+def test_folds_keep_every_row_and_every_class(spark):
+    df = small_set(spark).drop("split").withColumn(LABEL, F.expr("cast(group_count % 3 as int)"))
+    a = mdl.stratified_folds(df.repartition(3), 3)
+    assert a.drop("fold").exceptAll(df).count() == 0 and a.count() == df.count()
+    sizes = {(r[LABEL], r.fold): r["count"] for r in a.groupBy(LABEL, "fold").count().collect()}
+    assert len(sizes) == 9
+    for c in range(3):
+        mine = [sizes[c, k] for k in range(3)]
+        assert max(mine) - min(mine) <= 1
+    b = mdl.stratified_folds(df.repartition(7), 3)
+    assert a.exceptAll(b).count() == 0  # though all keys repeat
+    with pytest.raises(Exception, match="has no high_demand"):
+        mdl.stratified_folds(df.withColumn(LABEL, F.when(F.col("group_count") > 6, F.col(LABEL)))).collect()
 
-def test_naive_bayes_train_and_score(spark):
-    row = mlplan.q_train_nb(spark, SF_MID).first()
-    assert 0.0 <= row.accuracy <= 1.0 and 0.0 <= row.cv_f1 <= 1.0
-    scored = score_with({"nb": mlplan.trained(spark, SF_MID, "nb")[3]},
-                               mlplan.splits(spark, SF_MID)[1], members=("nb",))
-    vals = scored.select(F.min("prob_nb"), F.max("prob_nb")).first()
-    assert 0.0 <= vals[0] <= vals[1] <= 1.0
 
+def test_a_changed_input_gets_a_new_run(spark, tmp_path):
+    mark = mlplan.fingerprint(spark, SF_SMALL)
+    assert mark == mlplan.fingerprint(spark, SF_SMALL) != mlplan.fingerprint(spark, SF_SMALL.replace("0.001", "0.01"))
 
-def test_slot_names_cover_unknown_slot(spark):
-    _, test = mlplan.splits(spark, SF_MID)
-    model = mlplan.trained(spark, SF_MID, "nb")[3]
-    from pyspark.ml import PipelineModel
 
-    feats = PipelineModel(stages=model.stages[:-1]).transform(test)
-    names = slot_names(feats)
-    size = feats.select("raw_features").first()[0].size
-    assert len(names) == size
-    assert any(n.endswith("__unknown") for n in names)
+def test_medians_of_an_empty_test_part_are_zero(spark):
+    empty = small_set(spark).drop("split").where("false")
+    rows = mlprep.whatif_rows(empty).collect()
+    assert len(rows) == len(mlprep.SCENARIOS) and all(r.group_count == 0 and r.summary_coverage == 0 for r in rows)
+    with pytest.raises(ValueError, match="nothing to learn"):
+        mlprep.write_parts(small_set(spark).where("false"), scratch_dir(spark, "t-empty"))
