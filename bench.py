@@ -19,9 +19,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from demandlens.operators import demand, metrics, quality, share  # noqa: E402
-from demandlens.operators.clean import clean_jobs  # noqa: E402
 from demandlens.operators.explode import explode_list  # noqa: E402
-from demandlens.plans import mlprep  # noqa: E402
+from demandlens.plans import analytics, eda, io, mlprep  # noqa: E402
 from demandlens.session import build_session, scratch_dir  # noqa: E402
 from demandlens.sources import fixtures as fx  # noqa: E402
 from demandlens.sources.files import write_table  # noqa: E402
@@ -42,8 +41,7 @@ def headline(spark, sf_dir: str, scratch: str) -> dict:
 
     def clean():
         # The batch job's cleaned table: one normalisation pass for all tables.
-        path = write_table(clean_jobs(state["enriched"], nullable="summary-presence"), scratch, "clean")
-        state["clean"] = spark.read.parquet(path)
+        state["clean"] = spark.read.parquet(eda.write_clean(state["enriched"], scratch, "clean"))
         state["report"] = state["clean"]
         state["skills"] = explode_list(state["clean"])
 

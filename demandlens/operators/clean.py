@@ -51,14 +51,12 @@ def clean_jobs(enriched: DataFrame, sentinel: str = SENTINEL,
                blank_after_clean: bool = False, nullable: str = "clean") -> DataFrame:
     """The clean analytics base frame over the enriched posting table.
 
-    ``nullable`` picks how the nullable texts are produced: ``"clean"`` (the
-    full normalisation), ``"presence"`` (skills and summary only tested for
-    NULL: coverage reports) or ``"summary-presence"`` (skills cleaned, the
-    long summary only tested for NULL: the table every analytics job reads).
+    ``nullable="presence"`` leaves the nullable texts raw but for blank -> NULL:
+    coverage reports only test them for NULL, and so skip the regex over long
+    texts.  What is written as the clean table uses the full normalisation.
     """
     present = set(enriched.columns)
-    presence = {"clean": (), "presence": LOWER_NULLABLE + CASED_NULLABLE,
-                "summary-presence": CASED_NULLABLE}[nullable]
+    presence = {"clean": (), "presence": LOWER_NULLABLE + CASED_NULLABLE}[nullable]
     return clean_text(
         enriched,
         [c for c in SENTINEL_COLUMNS if c in present],

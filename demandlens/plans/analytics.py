@@ -64,16 +64,24 @@ def q_explode_list(spark, sf):
     return exploded(spark, sf)
 
 
-def q_filtered_slice(spark, sf):
-    """Dashboard filters (country list, level, first-seen range), then the
-    country x position table."""
-    c = clean(spark, sf)
-    sliced = apply_filters(c, search_country=["nation_1", "nation_2", "nation_3", "nation_24"],
+def dashboard_slice(clean_table: DataFrame) -> DataFrame:
+    """Dashboard filters (country list, type list, first-seen range), then the
+    country x position table.  Plain comparisons on stored columns: all three
+    are pushed into the scan of a stored clean table."""
+    sliced = apply_filters(clean_table, search_country=["nation_1", "nation_2", "nation_3", "nation_24"],
                            job_type=["onsite", "hybrid"],
                            first_seen=("1996-01-01", "1998-12-31"))
     return demand.top_positions_by_country(sliced)
 
 
+def q_filtered_slice(spark, sf):
+    """The dashboard slice of the stored clean table."""
+    from demandlens.plans.eda import write_clean
+    from demandlens.session import scratch_dir
+
+    return dashboard_slice(spark.read.parquet(write_clean(enriched(spark, sf), scratch_dir(spark, "slice"))))
+
+
 # --- demand tables ---------------------------------------------------------------------------
 
 def q_top_positions_global(spark, sf):

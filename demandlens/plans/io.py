@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from demandlens.operators import demand
-from demandlens.plans.analytics import clean, enriched, exploded
+from demandlens.operators import demand, quality, share
+from demandlens.plans.analytics import clean, enriched, exploded, report_clean
 from demandlens.session import scratch_dir
 from demandlens.sources import files
 from demandlens.sources import fixtures as fx
@@ -97,7 +97,22 @@ def q_export_top_companies(spark, sf):
                    "company string, posting_count bigint, country_count bigint, position_count bigint")
 
 
+def q_export_type_shares(spark, sf):
+    return _export(spark, share.share_of_total(clean(spark, sf), ["job_type"]), "posting_count", "job_type",
+                   "job_type string, posting_count bigint, posting_pct double")
+
+
+def q_export_characteristics(spark, sf):
+    """The one-row profile as the CSV export writes it."""
+    path = scratch_dir(spark, "export")
+    profile = quality.data_characteristics_wide(report_clean(spark, sf))
+    files.write_csv(profile.coalesce(1), path)
+    return files.scan_csv(spark, path, profile.schema)
+
+
 QUERIES = {
+    "export_type_shares": q_export_type_shares,
+    "export_characteristics": q_export_characteristics,
     "scan_csv": q_scan_csv,
     "land_delimited": q_land_delimited,
     "scan_delimited": q_scan_delimited,

@@ -4,89 +4,87 @@
 
 Each stage writes its output under ``--out`` and the next stage reads it back,
 like the reference's staged jobs; every write is an overwrite, so a re-run
-replaces the previous results.
+replaces the previous results.  Result tables of bounded size (metrics, grids,
+importances, predictions, run summaries) are CSV folders under ``results``.
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Mapping
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from demandlens.ml import models as mdl
-from demandlens.ml.score import score_with
 from demandlens.operators import quality
 from demandlens.operators.enrich import enrich, join_coverage
 from demandlens.operators.typing import type_postings
 from demandlens.plans import eda, mlprep
+from demandlens.plans.ml import Run
 from demandlens.session import build_session
 from demandlens.sources import files
 from demandlens.sources import fixtures as fx
+from demandlens.sources.catalog import require_paths
 
+SOURCES = ("region", "nation", "customer", "part", "orders", "lineitem", "documents")
 
-def run(spark: SparkSession, sf: str, out: str, grid: str = "compact",
-        train_models: bool = True) -> dict:
+
+def run(spark: SparkSession, sf: str, out: str, train_models: bool = True,
+        grids: Mapping[str, Mapping] | None = None) -> dict:
+    """All stages; ``grids`` replaces the classifiers' whole grids by name."""
     out = out.rstrip("/")
+    require_paths(spark, [f"{sf.rstrip('/')}/{name}.parquet" for name in SOURCES])
     raw = {"postings": fx.postings_raw(spark, sf), "skills": fx.skills_raw(spark, sf),
            "summary": fx.summary_raw(spark, sf)}
-    # Stage 1: land the three sources as \001 text, read them back typed.
+    # Stage 1: land the three sources as \001 text, read them back, store them typed.
+    typed = {}
     for name, df in raw.items():
         files.land_delimited(df, f"{out}/raw/{name}")
-    scanned = {name: files.scan_delimited(spark, f"{out}/raw/{name}", df.columns)
-               for name, df in raw.items()}
-    enriched = enrich(type_postings(scanned["postings"]), scanned["skills"], scanned["summary"])
-    enriched_path = files.write_table(enriched, f"{out}/enriched", "postings_enriched")
-    # Quality reports of the landed sources and the wide table, as TSV.
+        landed = files.scan_delimited(spark, f"{out}/raw/{name}", df.columns)
+        shaped = type_postings(landed) if name == "postings" else landed
+        typed[name] = spark.read.parquet(files.write_table(shaped, f"{out}/typed", name))
+    enriched_path = files.write_table(enrich(typed["postings"], typed["skills"], typed["summary"]),
+                                      f"{out}/enriched", "postings_enriched")
+    # Quality reports of the typed sources and the wide table, as TSV.
     wide = spark.read.parquet(enriched_path)
     files.write_report({
-        "table_counts": quality.table_counts({**scanned, "enriched": wide}),
-        "distinct_keys": quality.distinct_keys(scanned),
-        "time_range": quality.time_range(type_postings(scanned["postings"])),
-        "join_coverage": join_coverage(scanned["postings"], "job_link",
-                                       {"postings_with_skills": scanned["skills"],
-                                        "postings_with_summary": scanned["summary"]}),
-        "distributions": quality.value_distribution(scanned["postings"], ["job_level", "job_type"]),
+        "table_counts": quality.table_counts({**typed, "enriched": wide}),
+        "distinct_keys": quality.distinct_keys(typed),
+        "time_range": quality.time_range(typed["postings"]),
+        "join_coverage": join_coverage(typed["postings"], "job_link",
+                                       {"postings_with_skills": typed["skills"],
+                                        "postings_with_summary": typed["summary"]}),
+        "distributions": quality.value_distribution(typed["postings"], ["job_level", "job_type"]),
         "enriched_coverage": quality.enriched_coverage(wide),
     }, f"{out}/reports")
     # Stage 2: analytics tables and previews.
     tables = eda.build_all(spark, enriched_path, f"{out}/analytics", f"{out}/previews")
-    # Stage 3: ML set, models, scores.
-    data = mlprep.labelled(mlprep.group_features(spark.read.parquet(enriched_path)))
-    data = data.withColumn("split", mlprep.split_column(mlprep.GROUP_KEYS, mlprep.TRAIN_FRACTION,
-                                                        mlprep.SEED))
-    ml_path = files.write_table(data, f"{out}/ml", "dataset")
-    ds = spark.read.parquet(ml_path)
-    if ds.isEmpty():
-        raise RuntimeError("no (country, position) groups left after the size filter")
-    if not train_models:
-        return {"enriched": enriched_path, "tables": tables, "ml": ml_path, "models": []}
-    train = ds.where(F.col("split") == "train").drop("split").cache()
-    test = ds.where(F.col("split") == "test").drop("split").cache()
-    models = {}
-    for name in mdl.MODEL_NAMES:
-        cv_model, _, _ = mdl.tune(name, train, grid)
-        path = f"{out}/models/{name}"
-        cv_model.bestModel.write().overwrite().save(path)
-        models[name] = PipelineModel.load(path)
-    scored = score_with(models, mlprep.whatif_rows(test))
-    files.write_csv(scored.select("source", "search_country", "search_position",
-                                  F.col("high_demand").alias("true_label"),
-                                  *[f"pred_{n}" for n in mdl.MODEL_NAMES], "pred_ensemble")
-                    .orderBy("source", "search_country", "search_position").coalesce(1),
-                    f"{out}/predictions")
-    return {"enriched": enriched_path, "tables": tables, "ml": ml_path, "models": list(models)}
+    # Stage 3: ML set and its reports, models, scores.
+    grouped = spark.read.parquet(files.write_table(mlprep.group_features(wide), f"{out}/ml", "groups"))
+    data = mlprep.labelled(grouped).withColumn(
+        "split", mlprep.split_column(mlprep.GROUP_KEYS, mlprep.TRAIN_FRACTION, mlprep.SEED))
+    training = Run(data, f"{out}/ml", grids)
+    try:
+        stored = spark.read.parquet(f"{out}/ml/dataset")
+        reports = {"class_distribution": mlprep.class_distribution(stored), "prepare_summary": mlprep.prepare_summary(grouped)}
+        if train_models:
+            reports |= training.artefacts()
+        for name, table in reports.items():
+            files.write_csv(table.coalesce(1), f"{out}/results/{name}")  # reports of bounded size
+    finally:
+        training.close()
+    return {"enriched": enriched_path, "tables": tables, "ml": f"{out}/ml/dataset", "results": sorted(reports),
+            "models": list(mdl.MODEL_NAMES) if train_models else []}
 
 
 def main() -> None:
     ap = argparse.ArgumentParser(description=__doc__)
     ap.add_argument("--sf", required=True)
     ap.add_argument("--out", required=True)
-    ap.add_argument("--grid", default="compact", choices=["compact", "full"])
+    ap.add_argument("--no-models", action="store_true", help="stop after the ML set")
     args = ap.parse_args()
     spark = build_session()
-    print(run(spark, args.sf, args.out, args.grid))
+    print(run(spark, args.sf, args.out, not args.no_models))
     spark.stop()
 
 

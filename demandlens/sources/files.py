@@ -35,14 +35,19 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite")
 
 
 def scan_csv(spark: SparkSession, path: str, schema, columns: Sequence[str] | None = None,
-             sep: str = ",") -> DataFrame:
-    """RFC-4180 CSV scan with an explicit schema and multi-line records.
+             sep: str = ",", multi_line: bool = True) -> DataFrame:
+    """RFC-4180 CSV scan with an explicit schema.
+
+    ``multi_line`` allows line breaks inside quoted fields, and then a file is
+    one task however large it is.  Turn it off for files without them: Spark
+    then splits each file at line ends.  After a multi-line scan of few large
+    files, ``repartition`` before writing the typed table.
 
     A quoted empty field reads as a marker first and is mapped back to
     ``''``, so it stays distinct from NULL.  ``columns`` selects a subset
     (pruned at the scan).
     """
-    df = (spark.read.options(**_csv_options(sep)).option("multiLine", True)
+    df = (spark.read.options(**_csv_options(sep)).option("multiLine", multi_line)
           .option("emptyValue", EMPTY_MARK).option("mode", "FAILFAST")
           .schema(schema).csv(path))
     exprs = []
@@ -139,16 +144,33 @@ def preview_topn(df: DataFrame, order: Sequence, n: int, path: str, sep: str = "
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None,
               column: str | None = None, lower: int | None = None, upper: int | None = None,
-              num_partitions: int | None = None) -> DataFrame:
-    """Bulk JDBC read; with ``column`` and bounds it runs ``num_partitions``
-    range queries in parallel instead of one reader."""
+              num_partitions: int | None = None, predicates: Sequence[str] | None = None) -> DataFrame:
+    """Bulk JDBC read, in parallel if it is told how to split the table.
+
+    ``column`` with bounds runs ``num_partitions`` range queries over a numeric
+    or date column.  ``predicates`` runs one query per condition and so also
+    splits on a text key; ``key_ranges`` makes them from sorted key samples.
+    """
     props = dict(properties or {})
+    if predicates is not None and column is not None:
+        raise ValueError("give either a column with bounds or predicates")
+    if predicates is not None:
+        return spark.read.jdbc(url, table, predicates=list(predicates), properties=props)
     if column is not None:
         return spark.read.jdbc(url, table, column=column, lowerBound=lower, upperBound=upper,
                                numPartitions=num_partitions or 1, properties=props)
     return spark.read.jdbc(url, table, properties=props)
 
 
+def key_ranges(column: str, bounds: Sequence[str]) -> list[str]:
+    """Conditions that split a text key at ``bounds``: disjoint, and together all rows (NULL keys too)."""
+    cuts = ["'" + b.replace("'", "''") + "'" for b in sorted(set(bounds))]
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
                mode: str = "overwrite") -> None:
     """JDBC writer (one connection per task)."""

@@ -43,12 +43,32 @@ def test_parquet_table_idempotent(spark):
     assert spark.read.parquet(p).count() == 10
 
 
-def test_jdbc_embedded_derby_partitioned_read(spark):
-    url = "jdbc:derby:memory:demandlens;create=true"
-    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    df = spark.range(0, 100).selectExpr("cast(id as int) as id", "concat('job/', id) as job_link")
-    files.write_jdbc(df, url, "postings", props)
-    back = files.read_jdbc(spark, url, "postings", props, column="id", lower=0, upper=100,
-                           num_partitions=4)
-    assert back.rdd.getNumPartitions() == 4
-    assert back.count() == 100
+def test_text_key_ranges_cover_every_row_once(spark):
+    """The conditions of a JDBC read split on a text key, tried as plain filters."""
+    rows = [(k,) for k in ["a", "b", "bb", "it's", "m", "z", None, ""]]
+    df = spark.createDataFrame(rows, "k string")
+    for bounds in ([], ["m"], ["b", "it's", "b"], ["0", "zz"]):
+        parts = [df.where(c).collect() for c in files.key_ranges("k", bounds)]
+        assert sorted((r for p in parts for r in p), key=str) == sorted(df.collect(), key=str)
+
+
+def test_jdbc_read_takes_one_way_to_split(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="either"):
+        files.read_jdbc(spark, "jdbc:none", "t", column="id", predicates=["1 = 1"])
+
+
+def test_csv_without_line_breaks_is_split(spark):
+    df = spark.range(20_000).selectExpr("cast(id as string) id", "repeat('x', 20) a", "'' b", "cast(null as string) c")
+    path = scratch_dir(spark, "t-csv3")
+    files.write_csv(df.coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        whole = files.scan_csv(spark, path, SCHEMA)
+        split = files.scan_csv(spark, path, SCHEMA, multi_line=False)
+        assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
+        assert split.exceptAll(whole).count() == 0 and split.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

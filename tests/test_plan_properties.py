@@ -69,3 +69,58 @@ def test_auc_running_sums_are_windowed_per_bucket(spark):
     # then the order); the only un-partitioned window runs over bucket totals.
     assert any("windowspecdefinition(__b#" in w and "score#" in w for w in windows)
     assert all("score#" not in w for w in windows if "windowspecdefinition(__b#" not in w)
+
+
+def test_plain_enrichment_reads_each_input_once(spark, enriched):
+    from demandlens.operators.enrich import enrich
+    from demandlens.sources.fixtures import POSTING_COLUMNS
+
+    base = scratch_dir(spark, "t-enrich")
+    tables = {"p": enriched.select(*POSTING_COLUMNS), "s": enriched.select("job_link", "job_skills"),
+              "m": enriched.select("job_link", "job_summary")}
+    stored = {k: spark.read.parquet(write_table(df, base, k)) for k, df in tables.items()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(enrich(stored["p"], stored["s"], stored["m"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") <= 3 and plan.count("FileScan parquet") == 3
+
+
+def test_dashboard_filters_are_pushed(spark, enriched):
+    from demandlens.plans.analytics import dashboard_slice
+    from demandlens.plans.eda import write_clean
+
+    stored = write_clean(enriched, scratch_dir(spark, "t-slice"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = _plan(dashboard_slice(spark.read.parquet(stored)))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "In(search_country" in pushed and "In(job_type" in pushed
+    assert "GreaterThanOrEqual(first_seen,1996-01-01)" in pushed and "LessThanOrEqual(first_seen,1998-12-31)" in pushed
+
+
+def test_no_private_checkpoint_folder_on_a_cluster():
+    from demandlens.session import checkpoint_dir, is_single_jvm
+
+    assert is_single_jvm("local") and is_single_jvm("local[4]")
+    assert not is_single_jvm("local-cluster[2,1,1024]") and not is_single_jvm("yarn")
+
+    class Session:
+        class sparkContext:
+            master = "yarn"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session)

@@ -9,18 +9,37 @@ from demandlens.sources.catalog import list_tables, register_views, require_path
 from demandlens.streaming.landing import stream_landed, write_typed
 
 
-def test_runner_stages_without_models(spark):
+def test_runner_writes_every_stage(spark):
+    from test_ml import POINT
+
     out = scratch_dir(spark, "t-pipe")
-    res = runner.run(spark, SF_SMALL, out, train_models=False)
+    res = runner.run(spark, SF_SMALL, out, grids=POINT)
     enriched = spark.read.parquet(res["enriched"])
-    assert enriched.count() == fx.enriched(spark, SF_SMALL).count()
-    assert len(res["tables"]) == 13
+    assert enriched.exceptAll(fx.enriched(spark, SF_SMALL)).count() == 0
+    assert len(res["tables"]) == 13 and res["models"] == ["rf", "gbt", "svm", "nb"]
     top = spark.read.parquet(f"{out}/analytics/top_positions_global")
     assert top.count() > 0
-    require_paths(spark, [res["enriched"], f"{out}/previews/top_companies",
-                          f"{out}/reports/table_counts"])
+    require_paths(spark, [res["enriched"], f"{out}/typed/postings", f"{out}/previews/top_companies",
+                          f"{out}/reports/table_counts", *[f"{out}/ml/models/{m}" for m in res["models"]]])
     counts = spark.read.csv(f"{out}/reports/table_counts", sep="\t", header=True).collect()
     assert {r.table_name for r in counts} == {"postings", "skills", "summary", "enriched"}
+    want = {"class_distribution": 1, "prepare_summary": 1, "model_metrics": 5, "best_params": 4, "cv_grid": 5,
+            "feature_importance": 2, "confusion": 5, "per_class_metrics": 5, "ensemble_info": 1, "predictions": 4}
+    assert sorted(want) == res["results"]
+    for name, least in want.items():
+        rows = spark.read.csv(f"{out}/results/{name}", header=True)
+        assert rows.count() >= least, name
+    assert "prob_gbt" in spark.read.csv(f"{out}/results/predictions", header=True).columns
+    clean = spark.table("clean_postings").where("job_summary is not null").select("job_summary")
+    assert clean.where("job_summary rlike '\\\\s\\\\s'").count() == 0  # normalised, not raw
+    assert "exploded_skills" in {r.tableName for r in list_tables(spark).collect()}
+
+
+def test_runner_checks_its_sources_first(spark, tmp_path):
+    import pytest
+
+    with pytest.raises(FileNotFoundError):
+        runner.run(spark, str(tmp_path), str(tmp_path / "out"))
 
 
 def test_require_paths_fails_early(spark):
