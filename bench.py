@@ -20,7 +20,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from demandlens.operators import demand, metrics, quality, share  # noqa: E402
 from demandlens.operators.explode import explode_list  # noqa: E402
-from demandlens.plans import analytics, eda, io, mlprep  # noqa: E402
+from demandlens.ml import models as mdl  # noqa: E402
+from demandlens.plans import analytics, eda, io, ml, mlprep  # noqa: E402
 from demandlens.session import build_session, scratch_dir  # noqa: E402
 from demandlens.sources import fixtures as fx  # noqa: E402
 from demandlens.sources.files import write_table  # noqa: E402
@@ -48,6 +49,19 @@ def headline(spark, sf_dir: str, scratch: str) -> dict:
     def q(build):
         return lambda: run(build())
 
+    def train_one_point():
+        # One point of each classifier's grid, three folds and the refit; the whole grids are 27 such points.
+        points = {name: {k: v[:1] for k, v in spec.grid.items()} for name, spec in mdl.CLASSIFIERS.items()}
+        data = mlprep.labelled(mlprep.group_features(state["enriched"])).withColumn(
+            "split", mlprep.split_column(mlprep.GROUP_KEYS, mlprep.TRAIN_FRACTION, mlprep.SEED))
+        state["run"] = ml.Run(data, f"{scratch}/ml", points)
+        state["run"].all_tuned()
+
+    def score():
+        run(state["run"].model_metrics())
+        run(state["run"].predictions())
+        state["run"].close()
+
     return {
         "enrich": enrich,
         "clean": clean,
@@ -68,6 +82,13 @@ def headline(spark, sf_dir: str, scratch: str) -> dict:
             mlprep.voted(spark, sf_dir), "label", "prediction", "prob_ensemble")),
         "top_n_export": q(lambda: demand.top_n(demand.top_companies(state["clean"]),
                                                "posting_count", ["company"], 50)),
+        "filtered_slice": q(lambda: analytics.dashboard_slice(state["clean"])),
+        "scan_csv": q(lambda: io.q_scan_csv(spark, sf_dir)),
+        "land_delimited": q(lambda: io.q_land_delimited(spark, sf_dir)),
+        "scan_delimited": q(lambda: io.q_scan_delimited(spark, sf_dir)),
+        "roundtrip_parquet": q(lambda: io.q_roundtrip_parquet(spark, sf_dir)),
+        "train_one_point": train_one_point,
+        "score_models": score,
     }
 
 

@@ -10,6 +10,18 @@ from tools.oracle_check import TABLES, canon
 SQL = entry.oracle_sql()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_point_grids():
+    """The values compared here hold for any tuned model, so one grid point per classifier will do."""
+    from demandlens.ml import models
+
+    whole = dict(models.CLASSIFIERS)
+    for name, spec in whole.items():
+        models.CLASSIFIERS[name] = models.Classifier(spec.make, spec.scaled, {k: v[:1] for k, v in spec.grid.items()})
+    yield
+    models.CLASSIFIERS.update(whole)
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
