@@ -4,18 +4,24 @@ A document's set holds its distinct two-word shingles as 64-bit hashes.  Documen
 with equal sets form one class; everything up to the last step works on classes, so
 thousands of copies cost as much as one.  A class has ``SAMPLES`` MinHash samples.
 ``BANDS`` bands of ``ROWS`` samples give its buckets: two sets of similarity 0.8
-share one with probability 1 - 7e-6.  The odd sketch is a bitmap in which every
-(sample number, sample) flips one bit; the population count of two sketches' XOR
-estimates how many samples differ, most precisely at high similarity.  Candidates
-estimated below ``SKETCH_SIMILARITY`` (seven standard deviations from 0.8) are
-dropped; all others are confirmed on full sets.
+share one with probability 1 - 7e-6.  The odd sketch is folded from the set's
+bottom samples, its smallest hashes: below a threshold that halves for every
+doubling of the set, so that 256 to 1,024 remain (a smaller set counts whole).
+Every sample flips one bit of a bitmap of ``SKETCH_BITS``; the population count of
+two bitmaps' XOR estimates how many samples are in one set only, most precisely
+at high similarity.  Candidates that differ by ``DEVIATIONS`` standard deviations
+more than the similarity allows are dropped; all others are confirmed on full sets.
 
 In a bucket pairs aren't all formed.  First every class is compared with the
 bucket's first.  Then, as long as a bucket holds classes of different components,
-those outside its largest component are compared, ``CENTERS`` at a time, with all
-members of other components.  Pairs left out are inside one component already, so
-the components are those of all links.  Links are joined to components by
-alternating large-star and small-star steps over written tables.
+some of those outside its largest component are compared with all members of other
+components: one, then ``GROWTH`` times as many in each round, as ever fewer stay
+outside.  Pairs left out are inside one component already, so the components are
+those of all links.  A bucket of more than ``LARGE`` classes most of which stay
+outside after the first round is a passage that many documents share.  It is dealt
+again by bands of fresh samples: a pair of similarity 0.8 meets again as surely as
+before, while the others part.  Links are joined to components by alternating
+large-star and small-star steps over written tables.
 
 Sets, links and components never leave the executors.  An empty or null text, or
 one of white space, has an empty set and is linked with nothing; a single word is
@@ -41,12 +47,13 @@ from demandlens.llm.common import materialize, text_or_empty
 
 BANDS, ROWS = 30, 5
 SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
-SKETCH_SIMILARITY = 0.5
-CENTERS = 16
+SKETCH_BITS, SKETCH_WORDS = 1024, 16
+SKETCH_SAMPLES = 512
+DEVIATIONS = 5
+LARGE, GROWTH = 64, 4
 SEED = 20_240_229
-#: Classes up to which their ids are broadcast to find their texts again; else they are a shuffle join.
-MAX_BROADCAST_CLASSES = 1_000_000
+#: Rows of ids (up to 60 bytes each) up to which such a table is broadcast; else it is a shuffle join.
+MAX_BROADCAST_ROWS = 500_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -83,21 +90,26 @@ def bands_of(samples: np.ndarray) -> np.ndarray:
     return out
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Bitmap with the parity of how many (number, sample) pairs fall on each bit."""
-    number = np.arange(len(samples), dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
-    bit = (mixed(samples + number) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    return np.packbits(np.bincount(bit, minlength=SKETCH_BITS) % 2 == 1).view(np.uint64)
+def odd_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parity bitmaps of the bottom samples at a level and the next, then the level and both sample counts.
 
+    At level l a hash counts if its first l bits are zero.  Sets whose sizes are
+    within a factor of two have a level in common.
+    """
+    drawn = mixed(hashes ^ np.uint64(0xA24BAED4963EE407))
+    level = max(0, (len(hashes) // SKETCH_SAMPLES).bit_length() - 1)
+    words, counts = [], []
+    for at in (level, level + 1):
+        kept = drawn[(drawn >> np.uint64(64 - at)) == 0] if at else drawn
+        odd = np.bincount((kept % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) % 2 == 1
+        words.append(np.packbits(odd).view(np.int64))
+        counts.append(len(kept))
+    return np.concatenate([*words, np.array([level, *counts], np.int64)])
 
-def sketch_seeds() -> np.ndarray:
-    return np.random.default_rng(SEED).integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 
-
-def most_flips(similarity: float) -> int:
-    """XOR population count expected at ``similarity``; higher counts mean less similar sets."""
-    differ = 2 * SAMPLES * (1 - similarity)
-    return math.ceil(SKETCH_BITS / 2 * (1 - math.exp(-2 * differ / SKETCH_BITS)))
+def sketch_seeds(level: int = 0) -> np.ndarray:
+    """Seeds of the samples; level 1 has fresh ones for large buckets."""
+    return np.random.default_rng(SEED + level).integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
@@ -118,7 +130,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) ->
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 samples = minhash(s, seeds) if len(s) else None
                 bands.append(None if samples is None else bands_of(samples).view(np.int64))
-                sketches.append(None if samples is None else odd_sketch(samples).view(np.int64))
+                sketches.append(None if samples is None else odd_sketch(s))
             arrays = [batch.column(f.name) for f in kept]
             arrays += [pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
                        pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))]
@@ -127,51 +139,78 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) ->
     return docs.mapInArrow(sign, schema)
 
 
+def bounded(table: DataFrame) -> DataFrame:
+    """Marked for broadcast if its counted rows are within the bound."""
+    return F.broadcast(table) if table.count() <= MAX_BROADCAST_ROWS else table
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """node and hashes of each class in ``wanted`` (node, id, key), from its document's text."""
-    side = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_CLASSES else wanted
+    """node, hashes and fresh bands of each class in ``wanted`` (node, id, key), from its document's text.
+
+    Repeated rows of one id may repeat a class.
+    """
     texts = (docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__text"))
-             .join(side, F.col("__id").eqNullSafe(F.col("id"))).select("node", "key", "__text"))
+             .join(bounded(wanted.select("node", "id", "key")), F.col("__id").eqNullSafe(F.col("id")))
+             .select("node", "key", "__text"))
 
     def expand(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = sketch_seeds(1)
         for batch in batches:
-            nodes, hashes = [], []
+            nodes, hashes, fresh = [], [], []
             for node, key, text in zip(*(batch.column(c) for c in ("node", "key", "__text")), strict=True):
                 s = shingles(text.as_py())
                 if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == key.as_py():
                     nodes.append(node.as_py())
                     hashes.append(s.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))],
-                                             names=["node", "hashes"])
+                    fresh.append(bands_of(minhash(s, seeds)).view(np.int64))
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(hashes, longs),
+                                              pa.array(fresh, longs)], names=["node", "hashes", "fresh"])
+
+    return texts.mapInArrow(expand, "node long, hashes array<long>, fresh array<long>")
+
+
+def most_flips(total: Column, level: Column, percent: int) -> Column:
+    """XOR population count up to which sets with ``total`` samples together may reach the similarity.
 
-    return texts.mapInArrow(expand, "node long, hashes array<long>").dropDuplicates(["node"])
+    Sets of similarity t differ in (1 - t) / (1 + t) of their samples.  To that is
+    added the deviation of sampling (none at level 0, where the sample is the set),
+    and to the flips expected for it the deviation of bits that are hit twice.
+    """
+    apart = (100 - percent) / (100 + percent)
+    differ = apart * total + F.when(level > 0, DEVIATIONS * 0.5 * F.sqrt(total * apart)).otherwise(0.0)
+    expected = SKETCH_BITS / 2 * (1 - F.exp(-2.0 * differ / SKETCH_BITS))
+    return expected + DEVIATIONS * differ / math.sqrt(SKETCH_BITS / 2) + 1
 
 
-def flips(a: Column, b: Column) -> Column:
-    """Population count of two sketches' XOR."""
-    words = [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(SKETCH_BITS // 64)]
-    return sum(words[1:], words[0])
+def may_reach(a: Column, b: Column, percent: int) -> Column:
+    """Whether two odd sketches leave it open that their sets reach the similarity."""
+    level_a, level_b = a[2 * SKETCH_WORDS], b[2 * SKETCH_WORDS]
+    level = F.greatest(level_a, level_b)
+    up_a, up_b = (level - level_a).cast("int"), (level - level_b).cast("int")
+    words = [F.bit_count(a[up_a * SKETCH_WORDS + i].bitwiseXOR(b[up_b * SKETCH_WORDS + i]))
+             for i in range(SKETCH_WORDS)]
+    total = (a[up_a + 2 * SKETCH_WORDS + 1] + b[up_b + 2 * SKETCH_WORDS + 1]).cast("double")
+    return (F.abs(level_a - level_b) <= 1) & (sum(words[1:], words[0]) <= most_flips(total, level, percent))
 
 
-def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) whose sizes and sketches allow the similarity."""
-    side = nodes.select("node", "n", "sketch")
+def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) whose sketches allow the similarity."""
+    side = classes.select("node", "sketch")
     out = (pairs.distinct()
-           .join(side.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
-           .join(side.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b"))
-    sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    return out.where(sizes & (flips(F.col("sa"), F.col("sb")) <= most_flips(SKETCH_SIMILARITY))).select("a", "b")
+           .join(side.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
+           .join(side.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b"))
+    return out.where(may_reach(F.col("sa"), F.col("sb"), percent)).select("a", "b")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, percent: int, id_col: str,
-              text_col: str) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach ``percent`` of their union."""
     pairs = materialize(pairs, "near-pairs")
-    ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
-    wanted = materialize(nodes.join(ends, "node").select("node", "id", "key"), "near-wanted")
-    sets = materialize(full_sets(docs, wanted, id_col, text_col), "near-sets")
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b"))
+    ends = bounded(pairs.select(F.col("b").alias("end")).distinct())
+    first = sets.select("node", F.col("hashes").alias("ha")).join(bounded(pairs), F.col("node") == F.col("a"))
+    second = sets.select(F.col("node").alias("nb"), F.col("hashes").alias("hb")).join(
+        ends, F.col("nb") == F.col("end"), "left_semi")
+    both = first.join(second, F.col("b") == F.col("nb"))
     both = both.withColumn("same", F.size(F.array_intersect("ha", "hb")))
     union = F.size("ha") + F.size("hb") - F.col("same")
     return both.where(100 * F.col("same") >= percent * union).select("a", "b")
@@ -216,18 +255,66 @@ def shared_buckets(nodes: DataFrame) -> DataFrame:
     return each.join(materialize(shared, "near-shared"), "bucket").select("bucket", "node")
 
 
-def open_centers(members: DataFrame, compared: DataFrame) -> DataFrame:
-    """(bucket, center, of): up to ``CENTERS`` classes a bucket outside its largest component, not yet compared."""
+def parted(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """``members`` with the large buckets dealt again by fresh bands, unless half of one is a component."""
+    named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = named.groupBy("bucket", "component").agg(F.count("*").alias("c"))
+    large = (sizes.groupBy("bucket").agg(F.sum("c").alias("n"), F.max("c").alias("most"))
+             .where((F.col("n") > LARGE) & (2 * F.col("most") < F.col("n"))).select("bucket"))
+    large = materialize(large, "near-large")
+    if large.isEmpty():
+        return members
+    again = (members.join(large, "bucket").join(sets.select("node", "fresh"), "node")
+             .select("node", "bucket", F.explode("fresh").alias("band"))
+             .select(F.xxhash64("bucket", "band").alias("bucket"), "node").distinct())
+    again = materialize(again, "near-again")
+    shared = again.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
+    again = again.join(materialize(shared, "near-shared"), "bucket").select("bucket", "node")
+    return members.join(large, "bucket", "left_anti").union(again)
+
+
+def mixed_buckets(members: DataFrame) -> DataFrame:
+    """(bucket, main): buckets with classes of several components, and their largest component."""
     sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("k"))
-    mixed_up = largest.where("k > 1").select("bucket", F.col("m.component").alias("main"))
-    outside = (members.join(mixed_up, "bucket").where("component != main")
-               .join(compared, ["bucket", "node"], "left_anti"))
+    return largest.where("k > 1").select("bucket", F.col("m.component").alias("main"))
+
+
+def open_centers(members: DataFrame, compared: DataFrame, most: int) -> DataFrame:
+    """(bucket, center, of): up to ``most`` classes a bucket outside its largest component, not yet compared."""
+    outside = members.where("component != main").join(compared, ["bucket", "node"], "left_anti")
     order = Window.partitionBy("bucket").orderBy(F.xxhash64("node", "bucket"), "node")
-    return (outside.withColumn("k", F.row_number().over(order)).where(F.col("k") <= CENTERS)
+    return (outside.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
             .select("bucket", F.col("node").alias("center"), F.col("component").alias("of")))
 
 
+def by_level(rows: DataFrame) -> DataFrame:
+    """A row for each of a sketch's two levels, its words in columns ``w0``, ``w1``, ..."""
+    sketch = F.col("sketch")
+    levels = [F.struct((sketch[2 * SKETCH_WORDS] + up).alias("level"), F.lit(up == 0).alias("own"),
+                       sketch[2 * SKETCH_WORDS + 1 + up].alias("m"),
+                       *[sketch[up * SKETCH_WORDS + i].alias(f"w{i}") for i in range(SKETCH_WORDS)]) for up in (0, 1)]
+    return rows.select("*", F.inline(F.array(*levels))).drop("sketch")
+
+
+def crossing(members: DataFrame, centers: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of a center and a member of another component whose sketches allow the similarity.
+
+    The sketches travel with the rows as plain columns, so that comparing them is
+    a few instructions inside the join and only likely pairs come out of it.
+    """
+    side = classes.select("node", "sketch")
+    ours = by_level(centers.join(side.withColumnRenamed("node", "center"), "center"))
+    ours = ours.select(*[F.col(c).alias(f"c_{c}") for c in ours.columns])
+    theirs = by_level(members.join(centers.select("bucket").distinct(), "bucket").join(side, "node"))
+    words = [F.bit_count(F.col(f"w{i}").bitwiseXOR(F.col(f"c_w{i}"))) for i in range(SKETCH_WORDS)]
+    alike = sum(words[1:], words[0]) <= most_flips((F.col("m") + F.col("c_m")).cast("double"), F.col("level"), percent)
+    # sets of one size meet at their own level only
+    pairs = theirs.join(ours, (F.col("bucket") == F.col("c_bucket")) & (F.col("level") == F.col("c_level"))
+                        & (F.col("own") | F.col("c_own")) & (F.col("component") != F.col("c_of")) & alike)
+    return pairs.select(F.least("c_center", "node").alias("a"), F.greatest("c_center", "node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
                     carry: list[str] | None = None) -> DataFrame:
     """doc_id, the columns in ``carry``, n_shingles, component_id and kept, one row for each input row."""
@@ -239,22 +326,27 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
         .agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "bands", "sketch")])
         .withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     members = materialize(shared_buckets(nodes), "near-buckets")
+    classes = materialize(nodes.join(members.select("node").distinct(), "node")
+                          .select("node", "id", "key", "n", "sketch"), "near-candidates")
+    sets = materialize(full_sets(docs, classes, id_col, text_col), "near-sets")
     first = materialize(members.groupBy("bucket").agg(F.min("node").alias("center")), "near-firsts")
     compared = first.select("bucket", F.col("center").alias("node"))
     pairs = members.join(first, "bucket").where("node != center").select(
         F.col("center").alias("a"), F.col("node").alias("b"))
-    links = confirmed(docs, likely(pairs, nodes, percent), nodes, percent, id_col, text_col)
+    links = confirmed(likely(pairs, classes, percent), sets, percent)
     labels = materialize(components(links), "near-labels")
+    members = materialize(parted(members, labels, sets), "near-parted")
+    most = 1
     while True:
-        named = materialize(members.join(labels, "node", "left")
-                            .withColumn("component", F.coalesce("component", "node")), "near-members")
-        centers = materialize(open_centers(named, compared), "near-centers")
+        named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        named = materialize(named, "near-members")
+        active = materialize(named.join(materialize(mixed_buckets(named), "near-mixed"), "bucket"), "near-active")
+        centers = materialize(open_centers(active, compared, most), "near-centers")
         if centers.isEmpty():
             break
+        most *= GROWTH
         compared = compared.union(centers.select("bucket", F.col("center").alias("node")))
-        pairs = named.join(centers, "bucket").where("component != of").select(
-            F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b"))
-        found = confirmed(docs, likely(pairs, nodes, percent), nodes, percent, id_col, text_col)
+        found = confirmed(crossing(active, centers, classes, percent), sets, percent)
         stars = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
         labels = materialize(components(stars.union(found)), "near-labels")
     named = (nodes.select("key", "node").join(labels, "node", "left")

@@ -7,6 +7,7 @@ from collections import defaultdict
 import frames
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from demandlens.llm import exact_dedup, near_dedup, queries
@@ -123,16 +124,21 @@ def test_near_duplicates_of_an_empty_table(spark):
     assert near_dedup.near_duplicates(frames.empty(spark)).count() == 0
 
 
-def test_odd_sketch_counts_differing_samples():
-    rng = np.random.default_rng(0)
-    base = rng.integers(0, 1 << 63, near_dedup.SAMPLES, dtype=np.uint64)
-    for differ in (0, 30, 60):
-        other = base.copy()
-        other[:differ] = rng.integers(0, 1 << 63, differ, dtype=np.uint64)
-        x = near_dedup.odd_sketch(base) ^ near_dedup.odd_sketch(other)
-        flips = sum(int(w).bit_count() for w in x)
-        estimate = -near_dedup.SKETCH_BITS / 4 * np.log(1 - 2 * flips / near_dedup.SKETCH_BITS)
-        assert abs(estimate - differ) <= 12
+@pytest.mark.parametrize("size", [30, 600, 9_000])
+def test_odd_sketches_allow_what_reaches_the_similarity_and_not_much_more(spark, size):
+    rng = np.random.default_rng(size)
+    base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+    rows = []
+    for percent in (100, 95, 85, 80, 70, 60, 30):
+        same = round(size * 2 * percent / (100 + percent))  # two sets of one size at this similarity
+        for _ in range(12):
+            other = np.concatenate([rng.permutation(base)[:same], rng.integers(0, 1 << 63, size - same, dtype=np.uint64)])
+            rows.append((percent, near_dedup.odd_sketch(base).tolist(), near_dedup.odd_sketch(other).tolist()))
+    df = spark.createDataFrame(rows, "percent int, a array<long>, b array<long>")
+    open_ = df.groupBy("percent").agg(F.avg(near_dedup.may_reach(F.col("a"), F.col("b"), 80).cast("double")).alias("p"))
+    found = {r["percent"]: r["p"] for r in open_.collect()}
+    assert all(found[p] == 1 for p in (100, 95, 85, 80)) and found[30] == 0
+    assert found[60] < 0.3 or size < 100
 
 
 def test_minhash_estimates_similarity():
