@@ -5,9 +5,11 @@ letters (stems), hashed into ``BUCKETS``.  A linear weight for each bucket and a
 inner product of learned vectors for each pair of buckets give the log-odds, so a
 pair (an insult and the mention of a group) can weigh more or less than its parts.
 The machine learns from a bounded sample of labelled documents (``PER_CLASS`` of
-each class) in numpy on the driver; of its buckets those count whose share differs
-between the classes by ``LEAST_Z`` standard errors.  Scoring covers whole texts and
-all documents, one pass without a shuffle.
+each class) in numpy on the driver.  All buckets of at least ``LEAST_DOCUMENTS`` of
+them get a weight and a vector, whether or not they tell the classes apart alone.
+Weights and then vectors are learned on mini-batches, and shrunk in every step so
+that buckets without use to the fit go to zero.  Scoring covers whole texts and all
+documents, one pass without a shuffle.
 
 A null text counts as empty; without known terms the score is that of the bias
 alone.  Without labelled documents of both classes there is nothing to learn and
@@ -39,9 +41,15 @@ PER_CLASS = 2_000
 BUCKETS = 1 << 20
 #: Letters of the stems; a stem counts for words at least two letters longer.
 STEMS = (4, 5, 6, 7)
-LEAST_Z, LEAST_DOCUMENTS, MAX_TERMS = 5.0, 4, 2_048
-VECTOR = 8
-ROUNDS, RATE, L2, L2_PAIRS = 600, 0.05, 1e-4, 1e-3
+LEAST_DOCUMENTS = 4
+VECTOR, START = 8, 0.01
+#: Mini-batches, documents in each, and mini-batches that fit weights alone.
+STEPS, BATCH, LINEAR_STEPS = 500, 256, 200
+RATE, RATE_PAIRS = 0.1, 0.1
+#: Squared slopes that count as seen before the first step: large ones keep rare slopes small.
+SEEN, SEEN_PAIRS = 1e-8, 1e-2
+#: Shrinkage of weights and of whole vectors.
+L1, L2, L1_PAIRS, L2_PAIRS = 1e-3, 1e-4, 1e-3, 3e-3
 #: Words whose buckets a worker remembers before it starts anew.
 REMEMBERED = 300_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -88,45 +96,70 @@ class Machine:
         return float(self.bias + self.weights[active].sum() + 0.5 * (total @ total - (v * v).sum()))
 
 
-def telling_buckets(rows: list[list[int]], labels: np.ndarray) -> dict[int, int]:
-    """Column of each bucket whose document share differs clearly between the classes."""
-    sizes = np.array([len(r) for r in rows])
-    ids, at = np.unique(np.concatenate([np.asarray(r, np.int64) for r in rows]), return_inverse=True)
-    of = np.repeat(labels, sizes)
-    ones, zeros = np.bincount(at, of, len(ids)), np.bincount(at, 1 - of, len(ids))
-    n1, n0 = max(labels.sum(), 1), max((1 - labels).sum(), 1)
-    share = (ones + zeros) / (n1 + n0)
-    z = np.abs(ones / n1 - zeros / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
-    order = np.lexsort((ids, -z))
-    keep = [i for i in order if z[i] >= LEAST_Z and ones[i] + zeros[i] >= LEAST_DOCUMENTS][:MAX_TERMS]
-    return {int(ids[i]): k for k, i in enumerate(keep)}
+def known_buckets(rows: list[list[int]]) -> dict[int, int]:
+    """Column of each bucket that occurs in ``LEAST_DOCUMENTS`` rows; one that is in every row is the bias."""
+    ids, n = np.unique(np.concatenate([np.asarray(r, np.int64) for r in rows]), return_counts=True)
+    return {int(b): k for k, b in enumerate(ids[(n >= LEAST_DOCUMENTS) & (n < len(rows))])}
 
 
 def fit(rows: list[list[int]], labels: list[int], share: float, seed: int = 5) -> Machine:
-    """Full-batch Adam on the log loss; the bias is moved from the sample's share of label 1 to ``share``."""
+    """Proximal Adagrad on the log loss of mini-batches; the bias is moved from the sample's share of label 1 to ``share``."""
     y = np.asarray(labels, np.float32)
-    columns = telling_buckets(rows, y)
-    x = np.zeros((len(rows), len(columns)), np.float32)
-    for i, row in enumerate(rows):
-        x[i, [columns[b] for b in row if b in columns]] = 1
+    columns = known_buckets(rows)
+    rows = [np.array([columns[b] for b in row if b in columns], np.int64) for row in rows]
     rng = np.random.default_rng(seed)
-    theta = [np.zeros(1, np.float32), np.zeros(len(columns), np.float32),
-             rng.normal(0, 0.01, (len(columns), VECTOR)).astype(np.float32)]
-    first, second = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
-    for step in range(1, ROUNDS + 1):
-        bias, w, v = theta
-        s = x @ v
-        odds = bias[0] + x @ w + 0.5 * ((s * s).sum(axis=1) - x @ (v * v).sum(axis=1))
-        error = (1 / (1 + np.exp(-np.clip(odds, -30, 30))) - y) / len(y)
-        back = x.T @ error
-        slopes = [np.array([error.sum()]), back + L2 * w, x.T @ (error[:, None] * s) - back[:, None] * v + L2_PAIRS * v]
-        for t, g, a, b in zip(theta, slopes, first, second, strict=True):
-            a += 0.1 * (g - a)
-            b += 0.001 * (g * g - b)
-            t -= RATE * (a / (1 - 0.9 ** step)) / (np.sqrt(b / (1 - 0.999 ** step)) + 1e-8)
+    # a weight and a vector for each column, with their sums of squared slopes
+    theta = np.zeros((len(columns), 1 + VECTOR), np.float32)
+    theta[:, 1:] = rng.normal(0, START, (len(columns), VECTOR))
+    seen = np.full(theta.shape, SEEN_PAIRS, np.float32)
+    seen[:, 0] = SEEN
+    decay = np.array([L2] + [L2_PAIRS] * VECTOR, np.float32)
+    rates = np.array([RATE] + [RATE_PAIRS] * VECTOR, np.float32)
+    bias, seen_bias, order = 0.0, SEEN, np.empty(0, np.int64)
+    for step in range(STEPS):
+        while len(order) < BATCH:
+            order = np.concatenate([order, rng.permutation(len(rows))])
+        batch, order = order[:BATCH], order[BATCH:]
+        sizes = np.array([len(rows[i]) for i in batch])
+        active, document = np.concatenate([rows[i] for i in batch]), np.repeat(np.arange(BATCH), sizes)
+        sums = np.zeros((BATCH, 2 + VECTOR), np.float32)
+        if len(active):
+            terms = theta[active]
+            terms = np.concatenate([terms, (terms[:, 1:] ** 2).sum(axis=1, keepdims=True)], axis=1)
+            full = np.flatnonzero(sizes)
+            sums[full] = np.add.reduceat(terms, (np.cumsum(sizes) - sizes)[full], axis=0)
+        total = sums[:, 1:-1]
+        odds = bias + sums[:, 0] + 0.5 * ((total * total).sum(axis=1) - sums[:, -1])
+        error = ((1 / (1 + np.exp(-np.clip(odds, -30, 30))) - y[batch]) / BATCH).astype(np.float32)
+        seen_bias += float(error.sum()) ** 2
+        bias -= RATE * float(error.sum()) / np.sqrt(seen_bias)
+        if not len(active):
+            continue
+        by_column = np.argsort(active, kind="stable")
+        active = active[by_column]
+        first = np.flatnonzero(np.concatenate([[True], active[1:] != active[:-1]]))
+        used = active[first]
+        slopes = np.concatenate([np.ones((BATCH, 1), np.float32), total], axis=1) * error[:, None]
+        slopes = np.add.reduceat(slopes[document[by_column]], first, axis=0)
+        now = theta[used]
+        slopes[:, 1:] -= slopes[:, :1] * now[:, 1:]
+        slopes += decay * now
+        if step < LINEAR_STEPS:
+            slopes[:, 1:] = 0
+        seen[used] += slopes * slopes
+        rate = rates / np.sqrt(seen[used])
+        now -= rate * slopes
+        now[:, 0] = np.sign(now[:, 0]) * np.maximum(np.abs(now[:, 0]) - rate[:, 0] * L1, 0)
+        if step >= LINEAR_STEPS:
+            norm = np.sqrt((now[:, 1:] ** 2).sum(axis=1, keepdims=True))
+            now[:, 1:] *= np.maximum(1 - rate[:, 1:2] * L1_PAIRS / np.maximum(norm, 1e-12), 0)
+        theta[used] = now
     sampled = float(y.mean())
     shift = np.log(share / (1 - share)) - np.log(sampled / (1 - sampled))
-    return Machine(columns, float(theta[0][0] + shift), theta[1], theta[2])
+    # columns that went to zero add nothing to any score
+    left = np.flatnonzero(theta.any(axis=1))
+    at = {int(k): i for i, k in enumerate(left)}
+    return Machine({b: at[k] for b, k in columns.items() if k in at}, float(bias + shift), theta[left, 0], theta[left, 1:])
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col: str = "doc_id",

@@ -72,6 +72,25 @@ def test_the_machine_learns_pairs():
     assert odds(10, 20) > 1 > -1 > max(odds(10), odds(20), odds())
 
 
+def test_the_machine_learns_pairs_whose_terms_have_equal_shares():
+    """Exactly one of two terms, among other words: each term is as frequent in one class as in the other."""
+    rng = np.random.default_rng(3)
+    given = [(int(a), int(b)) for a in (0, 1) for b in (0, 1) for _ in range(500)]
+    rows = [[10] * a + [20] * b + sorted(set(rng.integers(100, 3_100, 10).tolist())) for a, b in given]
+    labels = [int(a != b) for a, b in given]
+    learned = [i for i in range(len(rows)) if i % 5]
+    machine = toxicity.fit([rows[i] for i in learned], [labels[i] for i in learned], 0.5)
+    odds = [machine.log_odds([machine.columns[x] for x in r if x in machine.columns]) for r in rows[::5]]
+    assert np.mean([(o > 0) == y for o, y in zip(odds, labels[::5], strict=True)]) > 0.9
+
+
+def test_a_rare_telling_term_counts():
+    """20 of 2,000 documents of one class and none of the other."""
+    rows = [[30, 40 + i % 7] + [10] * (i < 20) for i in range(4_000)]
+    machine = toxicity.fit(rows, [int(i < 2_000) for i in range(4_000)], 0.5)
+    assert machine.weights[machine.columns[10]] > 0.5
+
+
 def test_pooling_covers_the_whole_text():
     """A filter that counts one byte answers wherever in a long text the byte is."""
     embed, near = np.zeros((256, quality_model.EMBED), np.float32), np.zeros((32, quality_model.FILTERS), np.float32)
