@@ -12,7 +12,9 @@ entity's form: digits, letters, case and separators stay in place; given names k
 gender and script; account numbers keep their first digit and whether their check
 digit holds; addresses move to ranges and domains that nobody can own (240.0.0.0/4,
 ``example``); telephone numbers of the American form keep their country code and
-get the fictional exchange 555.
+get the fictional exchange 555.  What is drawn anew has a larger space with each
+attempt: e-mail addresses, names and secrets grow longer, and American telephone
+numbers get an area code that can't be dialled.
 
 Distinct entities must have distinct surrogates, and no surrogate may be a real
 entity of the corpus.  Both are checked over all entities at once: each clash is
@@ -206,6 +208,10 @@ class Draws:
                 out.append(c)
         return "".join(out)
 
+    def more(self, attempt: int) -> str:
+        """A letter for each attempt, so that there are always enough surrogates."""
+        return "".join(self.of("abcdefghijklmnopqrstuvwxyz") for _ in range(attempt))
+
 
 def luhn(digits: str) -> int:
     """What the check digit is off by: 0 for a valid number."""
@@ -225,13 +231,15 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         top = labels[-1] if labels[-1] in ("com", "org", "net") else "com"
         # users of one domain share their surrogate domain
         of_domain = Draws(key, "domain", domain, 0)
-        return f"{draws.like(local)}@{'.'.join([*map(of_domain.like, labels[:-2]), 'example', top])}"
+        above = labels[:-2] or labels[:1]
+        return f"{draws.like(local)}{draws.more(attempt)}@{'.'.join([*map(of_domain.like, above), 'example', top])}"
     if kind == "ip":
         return ".".join(map(str, [240 + draws.below(15), draws.below(256), draws.below(256), 1 + draws.below(254)]))
     if kind == "phone":
         new = draws.like(entity)
         if len(entity) == 11 and entity[0] == "1":
-            return "1" + new[1:4] + "555" + new[7:]
+            # the exchange 555 has ten million numbers; no area code begins with 0 or 1
+            return "1" + new[1:4] + "555" + new[7:] if attempt < 2 else "1" + draws.of("01") + new[2:]
         return entity[0] + new[1:] if len(entity) > 10 else new
     if kind == "ssn":
         return "9" + draws.like(entity[1:])
@@ -242,7 +250,7 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
     if kind == "secret":
         if re.fullmatch("[0-9a-f]+", entity):
             return "".join(draws.of("0123456789abcdef") for _ in entity)
-        return draws.like(entity)
+        return draws.like(entity) + draws.more(attempt)
     role, script, *gender = kind.split("-")
     if role == "given":
         # each further attempt adds a name, so there are always enough
