@@ -54,13 +54,15 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_co
                        "shard-rows")
     inside = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     starts = materialize(offsets(rows), "shard-offsets")  # a few bytes for each partition
-    total = F.lit(rows.agg(F.coalesce(F.sum("size"), F.lit(1))).first()[0])
+    total = rows.agg(F.sum("size")).first()[0] or 1
     placed = (rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
               .join(F.broadcast(starts), "part")
               .withColumn("start", F.col("bytes_before") + F.col("inside"))
               .withColumn("number", F.col("rows_before") + F.expr("place & 8589934591")))
-    middle = (F.col("start") * 2 + F.col("size")).cast("decimal(38,0)")
-    cut = materialize(placed.withColumn("shard", F.floor(middle * shards / (total * 2)).cast("int"))
+    placed = placed.withColumn("middle", (F.col("start") * 2 + F.col("size")).cast("decimal(38,0)"))
+    # whole numbers throughout: a quotient with decimal places is rounded, up to the number of shards
+    shard = F.expr(f"cast((middle * {shards}) div cast({2 * total} as decimal(38,0)) as int)")
+    cut = materialize(placed.withColumn("shard", shard)
                       .select("doc_id", "size", "text_crc32", "number", "shard"), "shard-cut")
     firsts = cut.groupBy("shard").agg(F.min("number").alias("first"))  # one row for each shard
     return (cut.join(F.broadcast(firsts), "shard")

@@ -38,6 +38,15 @@ def test_shards_equal_running_sums(spark, clashing):
     assert sorted(f for f in found if f[0] is not None) == sorted(b for b in brute_shards(frames.rows(), 7) if b[0] is not None)
 
 
+@pytest.mark.parametrize("sizes", [[500_000_000] * 3, [15_000_000_000, 14_999_999_992, 8], [499_999_992, 8]])
+def test_large_totals_stay_in_the_shards(spark, monkeypatch, sizes):
+    monkeypatch.setattr(sharding, "sized_rows", lambda docs, *_: docs)
+    docs = spark.createDataFrame([(i, n, 0) for i, n in enumerate(sizes)], "doc_id long, size long, text_crc32 long")
+    got = {r["doc_id"]: r["shard"] for r in sharding.shard_by_bytes(docs, 24).collect()}
+    assert got == {i: (2 * sum(sizes[:i]) + n) * 24 // (2 * sum(sizes)) for i, n in enumerate(sizes)}
+    assert max(got.values()) < 24
+
+
 def test_shard_query_is_balanced(spark):
     got = queries.op1_byte_shards(spark, SF_SMALL).toPandas()
     sizes = got.groupby("shard")["size"].sum()
