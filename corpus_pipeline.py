@@ -18,6 +18,8 @@ from demandlens.llm.queries import MIX_SEED, MIX_WEIGHTS, domain_of, tokenizer_f
 
 #: Mixing keeps this share of all words and uses no document twice.
 KEPT_WORDS = (9, 10)
+#: Words of a shingle in the near-duplicate stage; its test holds it to two, five would link fewer texts.
+NEAR_WIDTH = 2
 #: Rows dropped as near duplicates up to which their numbers are broadcast; else they are a shuffle join.
 MAX_BROADCAST_ROWS = 1_000_000
 #: What the operators read; a document's other columns travel as they are, whatever their names.
@@ -42,7 +44,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows are numbered and written first, so that repeated or null ids can't mix up rows.
     """
     numbered = materialize(fold_rest(docs, USED).withColumn("__number", F.monotonically_increasing_id()), "near-docs")
-    judged = near_dedup.near_duplicates(numbered, carry=["__number"])
+    judged = near_dedup.near_duplicates(numbered, carry=["__number"], width=NEAR_WIDTH)
     gone = materialize(judged.where("not kept").select("__number"), "near-gone")
     side = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_ROWS else gone
     return unfold_rest(numbered.join(side, "__number", "left_anti"), docs.columns, USED)

@@ -1,6 +1,7 @@
 """Near-duplicate groups: MinHash bands find candidates, odd sketches and full sets confirm them.
 
-A document's set holds its distinct two-word shingles as 64-bit hashes.  Documents
+A document's set holds its distinct shingles (two words, or ``width``) as 64-bit
+hashes; a shorter text is its only shingle.  Documents
 with equal sets form one class; everything up to the last step works on classes, so
 thousands of copies cost as much as one.  A class has ``SAMPLES`` MinHash samples.
 ``BANDS`` bands of ``ROWS`` samples give its buckets: two sets of similarity 0.8
@@ -24,9 +25,8 @@ before, while the others part.  Links are joined to components by alternating
 large-star and small-star steps over written tables.
 
 Sets, links and components never leave the executors.  An empty or null text, or
-one of white space, has an empty set and is linked with nothing; a single word is
-its only shingle.  Of each component the smallest id stays (null last); of repeated
-rows with one id exactly one.  An empty table gives an empty result.  Other input
+one of white space, has an empty set and is linked with nothing.  Of each component
+the smallest id stays (null last); of repeated rows with one id exactly one.  An empty table gives an empty result.  Other input
 columns take no part.
 """
 
@@ -45,6 +45,8 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 
 from demandlens.llm.common import materialize, text_or_empty
 
+#: Words of a shingle.
+WIDTH = 2
 BANDS, ROWS = 30, 5
 SAMPLES = BANDS * ROWS
 SKETCH_BITS, SKETCH_WORDS = 1024, 16
@@ -63,13 +65,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's two-word shingles."""
+def shingles(text: str, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's shingles of ``width`` words."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z only, ASCII white space only
     hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-    if len(hashes) > 1:
-        hashes = mixed(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + mixed(hashes[1:]))
-    return np.unique(hashes)
+    count = len(hashes) - min(width, len(hashes)) + 1
+    out = hashes[:count]
+    for i in range(1, min(width, len(hashes))):
+        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + mixed(hashes[i:i + count]))
+    return np.unique(out)
 
 
 def minhash(hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
@@ -112,7 +116,7 @@ def sketch_seeds(level: int = 0) -> np.ndarray:
     return np.random.default_rng(SEED + level).integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
+def signatures(docs: DataFrame, id_col: str, text_col: str, carry: list[str], width: int = WIDTH) -> DataFrame:
     """doc_id and ``carry`` with n, a digest of the set, its bands and its sketch."""
     docs = docs.select(F.col(id_col).alias("doc_id"), *carry, text_or_empty(text_col).alias("__text"))
     kept = [f for f in docs.schema if f.name != "__text"]
@@ -125,7 +129,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) ->
         for batch in batches:
             n, keys, bands, sketches = [], [], [], []
             for text in batch.column("__text"):
-                s = shingles(text.as_py())
+                s = shingles(text.as_py(), width)
                 n.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 samples = minhash(s, seeds) if len(s) else None
@@ -144,7 +148,7 @@ def bounded(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= MAX_BROADCAST_ROWS else table
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
     """node, hashes and fresh bands of each class in ``wanted`` (node, id, key), from its document's text.
 
     Repeated rows of one id may repeat a class.
@@ -158,7 +162,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
         for batch in batches:
             nodes, hashes, fresh = [], [], []
             for node, key, text in zip(*(batch.column(c) for c in ("node", "key", "__text")), strict=True):
-                s = shingles(text.as_py())
+                s = shingles(text.as_py(), width)
                 if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == key.as_py():
                     nodes.append(node.as_py())
                     hashes.append(s.view(np.int64))
@@ -316,10 +320,12 @@ def crossing(members: DataFrame, centers: DataFrame, classes: DataFrame, percent
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
-                    carry: list[str] | None = None) -> DataFrame:
+                    carry: list[str] | None = None, width: int = WIDTH) -> DataFrame:
     """doc_id, the columns in ``carry``, n_shingles, component_id and kept, one row for each input row."""
+    if width < 1:
+        raise ValueError("the width must be positive")
     carry = carry or []
-    rows = materialize(signatures(docs, id_col, text_col, carry)
+    rows = materialize(signatures(docs, id_col, text_col, carry, width)
                        .withColumn("__row", F.monotonically_increasing_id()), "near-rows")
     nodes = materialize(
         rows.where("n > 0").groupBy("key")
@@ -328,7 +334,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     members = materialize(shared_buckets(nodes), "near-buckets")
     classes = materialize(nodes.join(members.select("node").distinct(), "node")
                           .select("node", "id", "key", "n", "sketch"), "near-candidates")
-    sets = materialize(full_sets(docs, classes, id_col, text_col), "near-sets")
+    sets = materialize(full_sets(docs, classes, id_col, text_col, width), "near-sets")
     first = materialize(members.groupBy("bucket").agg(F.min("node").alias("center")), "near-firsts")
     compared = first.select("bucket", F.col("center").alias("node"))
     pairs = members.join(first, "bucket").where("node != center").select(

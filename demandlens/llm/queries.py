@@ -43,7 +43,7 @@ def op2_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), width=2)
 
 
 def op4_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
