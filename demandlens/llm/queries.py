@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm import exact_dedup, mixing, near_dedup, packing, pii, quality_model, quality_rules, sharding, toxicity, url_filter
+from demandlens.llm import (block_search, exact_dedup, mixing, near_dedup, packing, parity_join, pii, quality_model,
+                            quality_rules, sharding, token_align, toxicity, url_filter)
 from demandlens.llm.common import read
 
 SHARDS = 24
@@ -91,8 +92,25 @@ def op10_supervised_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "quality")
 
 
+def op11_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.similarity_components(read(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_align.align_tokenizers(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
+def op13_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_shards, op2_bloom_dedup, op3_odd_sketch_dedup, op4_byte_network, op5_factorization_machine, op6_surrogates, op7_boosted_urls, op8_vector_packing, op9_hierarchical_mix, op10_supervised_rules)
+    f.__name__: f for f in (op1_byte_shards, op2_bloom_dedup, op3_odd_sketch_dedup, op4_byte_network, op5_factorization_machine, op6_surrogates, op7_boosted_urls, op8_vector_packing, op9_hierarchical_mix, op10_supervised_rules,
+                            op11_parity_sketch_join, op12_token_alignment, op13_block_search)
 }
 
 MIX_LEVELS = ["domain", "lang", "source"]
@@ -161,5 +179,31 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id) AS kept,
                text_sha256
         FROM keyed""",
+    "op13_block_search": r"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents),
+        counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY ALL),
+        total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM lengths),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, total GROUP BY term),
+        items AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        scores AS (
+            SELECT item_id, doc_id,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // len)))) AS BIGINT) AS score
+            FROM items JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), total
+            GROUP BY ALL)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+              FROM scores WHERE score > 0)
+        WHERE rank <= 50""",
     "op9_hierarchical_mix": mix_sql("documents", MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED),
 }
