@@ -11,11 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlens.functions.text import SENTINEL
 
+#: Column of ``explode_list`` that marks an element's first place in its own list.
+FIRST_MENTION = "first_mention"
+
 
 def drop_sentinel(df: DataFrame, cols: Sequence[str], sentinel: str = SENTINEL) -> DataFrame:
     """``WHERE c1 <> 'unknown' AND c2 <> 'unknown'`` (NULLs drop as in SQL)."""
@@ -71,22 +74,62 @@ def top_positions_by_country(clean: DataFrame) -> DataFrame:
                      exclude=["search_country", "search_position"])
 
 
+def has_unique_keys(df: DataFrame, key: str = "job_link") -> bool:
+    """Whether no key occurs twice (NULL keys aside): one narrow shuffle of the key column."""
+    repeated = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    return repeated.isEmpty()
+
+
+def skill_counts(exploded: DataFrame, keys: Sequence[str], distinct: Mapping[str, str] | None = None,
+                 exclude: Sequence[str] = ()) -> DataFrame:
+    """Mentions and distinct postings per key set of the exploded lists.
+
+    With the mark of ``explode_list(..., mark=FIRST_MENTION)`` the distinct postings
+    are the sum of marked rows: one exchange of already summed rows.  Marks are for
+    postings whose keys don't repeat; without them distinct keys are counted.
+    """
+    if FIRST_MENTION not in exploded.columns:
+        return counts_by(exploded, keys, count_name="skill_mentions",
+                         distinct={"posting_count": "job_link", **(distinct or {})}, exclude=exclude)
+    postings = F.count_if(F.col(FIRST_MENTION) & F.col("job_link").isNotNull()).alias("posting_count")
+    out = counts_by(exploded, keys, count_name="skill_mentions", distinct=distinct, exclude=exclude, extra=[postings])
+    return out.select(*keys, "skill_mentions", "posting_count", *(distinct or {}))
+
+
 def top_skills_global(exploded: DataFrame) -> DataFrame:
     """Skill; mentions, distinct postings, distinct countries (sentinel counted)."""
-    return counts_by(exploded, ["skill"], count_name="skill_mentions",
-                     distinct={"posting_count": "job_link", "country_count": "search_country"})
+    return skill_counts(exploded, ["skill"], {"country_count": "search_country"})
 
 
 def top_skills_by_country(exploded: DataFrame) -> DataFrame:
     """(country, skill); mentions, distinct postings; country not sentinel."""
-    return counts_by(exploded, ["search_country", "skill"], count_name="skill_mentions",
-                     distinct={"posting_count": "job_link"}, exclude=["search_country"])
+    return skill_counts(exploded, ["search_country", "skill"], exclude=["search_country"])
 
 
 def skills_by_level(exploded: DataFrame) -> DataFrame:
     """(level, skill); mentions, distinct postings; level not sentinel."""
-    return counts_by(exploded, ["job_level", "skill"], count_name="skill_mentions",
-                     distinct={"posting_count": "job_link"}, exclude=["job_level"])
+    return skill_counts(exploded, ["job_level", "skill"], exclude=["job_level"])
+
+
+def matrix_columns(cells: DataFrame, column_key: str, measure: str, top: int) -> DataFrame:
+    """(column key, place): the ``top`` values by the measure's sum over all cells (ties by value), numbered from 1."""
+    best = cells.groupBy(column_key).agg(F.sum(measure).alias("n")).orderBy(F.desc("n"), column_key).limit(top)
+    # ``top`` rows at most come here, so one task may number them
+    return best.select(column_key, F.row_number().over(Window.orderBy(F.desc("n"), column_key)).alias("place"))
+
+
+def wide_matrix(cells: DataFrame, row_key: str, column_key: str, measure: str, top: int, prefix: str) -> DataFrame:
+    """A heatmap's wide form of long (row, column) cells, of bounded width whatever the data.
+
+    Columns ``<prefix>_1`` to ``<prefix>_<top>`` hold the measure for the column
+    values of the greatest totals (``matrix_columns`` says which), ``other`` the sum
+    over all remaining ones, ``total`` the sum of the row.  Missing cells are 0.
+    """
+    ranked = cells.join(F.broadcast(matrix_columns(cells, column_key, measure, top)), column_key, "left")
+    value, place = F.col(measure), F.col("place")
+    columns = [F.coalesce(F.sum(F.when(place == k, value)), F.lit(0)).alias(f"{prefix}_{k}") for k in range(1, top + 1)]
+    rest = F.coalesce(F.sum(F.when(place.isNull(), value)), F.lit(0)).alias("other")
+    return ranked.groupBy(row_key).agg(*columns, rest, F.sum(value).alias("total"))
 
 
 def level_by_country(clean: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SKILL_CONTEXT = ("job_link", "first_seen", "search_country", "search_position", "job_level",
@@ -13,18 +13,29 @@ SKILL_CONTEXT = ("job_link", "first_seen", "search_country", "search_position",
 
 def explode_list(df: DataFrame, list_col: str = "job_skills", out_col: str = "skill",
                  keep: Sequence[str] = SKILL_CONTEXT, sep: str = ",",
-                 lower: bool = False) -> DataFrame:
+                 lower: bool = False, mark: str | None = None) -> DataFrame:
     """Split ``list_col`` on ``sep`` and emit one row per element.
 
     NULL lists give no rows; elements are trimmed (and lower-cased if asked);
     empty elements are dropped; duplicates inside one list are kept.
     ``sep`` is a literal, not a pattern.
+
+    ``mark`` names a boolean column that is true for an element's first place in
+    its own list.  Where each list belongs to another key, the distinct keys of
+    any grouping by the element and the row's other columns are the marked rows:
+    a sum inside the row's task instead of a distinct count over all rows.
     """
-    element = F.explode(F.split(F.coalesce(F.col(list_col), F.lit("")), "\\Q" + sep + "\\E"))
-    item = F.trim(F.col("__item"))
-    if lower:
-        item = F.trim(F.lower(F.col("__item")))
     cols = [c for c in keep if c in df.columns]
-    return (df.select(*cols, element.alias("__item"))
-            .select(*cols, item.alias(out_col))
-            .where(F.col(out_col) != F.lit("")))
+    parts = F.split(F.coalesce(F.col(list_col), F.lit("")), "\\Q" + sep + "\\E")
+    if mark is None:
+        exploded = df.select(*cols, F.explode(parts).alias("__item")).select(*cols, _item("__item", lower).alias(out_col))
+    else:
+        items = F.transform(parts, lambda x: _item(x, lower))
+        exploded = (df.select(*cols, items.alias("__items"))
+                    .select(*cols, "__items", F.posexplode("__items").alias("__place", out_col))
+                    .select(*cols, out_col, (F.array_position("__items", F.col(out_col)) == F.col("__place") + 1).alias(mark)))
+    return exploded.where(F.col(out_col) != F.lit(""))
+
+
+def _item(value: Column | str, lower: bool) -> Column:
+    return F.trim(F.lower(value)) if lower else F.trim(value)

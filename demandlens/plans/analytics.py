@@ -33,6 +33,11 @@ def exploded(spark: SparkSession, sf: str) -> DataFrame:
     return explode_list(clean(spark, sf))
 
 
+def marked_skills(spark: SparkSession, sf: str) -> DataFrame:
+    """Exploded lists with first mentions marked: the order key is the postings' primary key."""
+    return explode_list(clean(spark, sf), mark=demand.FIRST_MENTION)
+
+
 # --- typing, cleaning, explode, join -------------------------------------------------------
 
 def q_type_postings(spark, sf):
@@ -93,15 +98,27 @@ def q_top_positions_by_country(spark, sf):
 
 
 def q_top_skills_global(spark, sf):
-    return demand.top_skills_global(exploded(spark, sf))
+    return demand.top_skills_global(marked_skills(spark, sf))
 
 
 def q_top_skills_by_country(spark, sf):
-    return demand.top_skills_by_country(exploded(spark, sf))
+    return demand.top_skills_by_country(marked_skills(spark, sf))
 
 
 def q_skills_by_level(spark, sf):
-    return demand.skills_by_level(exploded(spark, sf))
+    return demand.skills_by_level(marked_skills(spark, sf))
+
+
+def q_country_skill_matrix(spark, sf):
+    """Country x skill mentions in wide form: the ten skills mentioned most, the others summed."""
+    cells = demand.top_skills_by_country(marked_skills(spark, sf))
+    return demand.wide_matrix(cells, "search_country", "skill", "skill_mentions", 10, "skill")
+
+
+def q_country_position_matrix(spark, sf):
+    """Country x position postings in wide form: the ten positions with the most postings, the others summed."""
+    cells = demand.top_positions_by_country(clean(spark, sf))
+    return demand.wide_matrix(cells, "search_country", "search_position", "posting_count", 10, "position")
 
 
 def q_level_by_country(spark, sf):
@@ -189,6 +206,8 @@ QUERIES = {
     "top_skills_global": q_top_skills_global,
     "top_skills_by_country": q_top_skills_by_country,
     "skills_by_level": q_skills_by_level,
+    "country_skill_matrix": q_country_skill_matrix,
+    "country_position_matrix": q_country_position_matrix,
     "level_by_country": q_level_by_country,
     "top_companies": q_top_companies,
     "demand_by_date": q_demand_by_date,

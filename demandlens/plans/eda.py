@@ -30,7 +30,7 @@ def analytics_tables(enriched: DataFrame, clean: DataFrame | None = None,
     if clean is None:
         clean = clean_jobs(enriched)
         report = clean_jobs(enriched, nullable="presence")  # NULL tests only
-        skills = explode_list(clean)
+        skills = explode_list(clean)  # distinct postings are counted
     else:
         report = clean
         skills = clean.sparkSession.table(EXPLODED_VIEW)
@@ -89,7 +89,9 @@ def build_all(spark: SparkSession, enriched_path: str, out_base: str,
     clean = None
     if materialize_clean:
         stored = spark.read.parquet(write_clean(enriched, out_base))
-        register_views({CLEAN_VIEW: stored, EXPLODED_VIEW: explode_list(stored)})
+        # repeated posting keys are counted as such; otherwise marked first mentions are summed
+        mark = demand.FIRST_MENTION if demand.has_unique_keys(stored) else None
+        register_views({CLEAN_VIEW: stored, EXPLODED_VIEW: explode_list(stored, mark=mark)})
         clean = spark.table(CLEAN_VIEW)
     names = []
     for name, build in analytics_tables(enriched, clean, enriched.columns).items():

@@ -223,6 +223,23 @@ FROM fx_enriched""",
 }
 
 
+def _matrix_sql(source: str, row: str, column: str, where: str, prefix: str, top: int = 10) -> str:
+    """A wide matrix: counts of the ``top`` column values with the most rows, and of all others."""
+    cells = "".join(f", count(*) FILTER (place = {k}) AS {prefix}_{k}" for k in range(1, top + 1))
+    return f"""
+, cells AS (SELECT {row}, {column} FROM {source} WHERE {where}),
+ranks AS (
+  SELECT {column}, row_number() OVER (ORDER BY count(*) DESC, {column}) AS place FROM cells GROUP BY {column}
+  QUALIFY place <= {top})
+SELECT {row}{cells}, count(*) FILTER (place IS NULL) AS other, count(*) AS total
+FROM cells LEFT JOIN ranks USING ({column}) GROUP BY {row}"""
+
+
+BODIES["country_skill_matrix"] = _matrix_sql("fx_exploded", "search_country", "skill", "search_country <> 'unknown'", "skill")
+BODIES["country_position_matrix"] = _matrix_sql(
+    "fx_clean", "search_country", "search_position", "search_country <> 'unknown' AND search_position <> 'unknown'", "position")
+
+
 def oracle_sql() -> dict[str, str]:
     """Full statements: the shared CTE prefix plus each query's body."""
     # A body that starts with "," adds its own CTEs after the shared ones.

@@ -17,6 +17,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandlens.sources import csv_split
+
 # Fixed values of the landing format.
 FIELD_SEP = "\u0001"
 NULL_MARK = "\\N"
@@ -35,21 +37,24 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite")
 
 
 def scan_csv(spark: SparkSession, path: str, schema, columns: Sequence[str] | None = None,
-             sep: str = ",", multi_line: bool = True) -> DataFrame:
+             sep: str = ",", multi_line: bool = True, split: bool = False) -> DataFrame:
     """RFC-4180 CSV scan with an explicit schema.
 
     ``multi_line`` allows line breaks inside quoted fields, and then a file is
-    one task however large it is.  Turn it off for files without them: Spark
-    then splits each file at line ends.  After a multi-line scan of few large
-    files, ``repartition`` before writing the typed table.
+    one task however large it is, unless ``split`` is set: then many tasks read
+    each file (``csv_split``), with the same rows.  Without ``multi_line`` Spark
+    splits each file at line ends.
 
     A quoted empty field reads as a marker first and is mapped back to
     ``''``, so it stays distinct from NULL.  ``columns`` selects a subset
     (pruned at the scan).
     """
-    df = (spark.read.options(**_csv_options(sep)).option("multiLine", multi_line)
-          .option("emptyValue", EMPTY_MARK).option("mode", "FAILFAST")
-          .schema(schema).csv(path))
+    options = {**_csv_options(sep), "emptyValue": EMPTY_MARK}
+    if multi_line and split:
+        df = csv_split.parse_records(csv_split.records(spark, path), schema, options)
+    else:
+        df = (spark.read.options(**options).option("multiLine", multi_line).option("mode", "FAILFAST")
+              .schema(schema).csv(path))
     exprs = []
     for f in df.schema.fields:
         if columns is not None and f.name not in columns:

@@ -74,3 +74,45 @@ def test_counts_by_prededupe_equals_single_level(spark):
     a = demand.counts_by(df, ["skill"], "skill_mentions", d)
     b = demand.counts_by(df, ["skill"], "skill_mentions", d, prededupe=True)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
+
+
+SKILL_ROWS = [("j1", "a, b,a", "c1", "l1"), ("j2", "b,, b ,c", "c1", "l2"), ("j3", "a", "unknown", "l1"), ("j4", None, "c2", "l1"),
+              ("j5", "", "c2", "unknown"), (None, "a,a", "c2", "l1"), ("j6", "a,B,b", "c2", "l2")]
+
+
+def skill_rows(spark, repeat=False):
+    rows = SKILL_ROWS + ([("j1", "a,d", "c1", "l1")] if repeat else [])
+    return spark.createDataFrame(rows, "job_link string, job_skills string, search_country string, job_level string")
+
+
+def test_marked_first_mentions_count_distinct_postings(spark):
+    df = skill_rows(spark)
+    plain, marked = explode_list(df), explode_list(df, mark=demand.FIRST_MENTION)
+    assert demand.has_unique_keys(df) and not demand.has_unique_keys(skill_rows(spark, repeat=True))
+    for table in (demand.top_skills_global, demand.top_skills_by_country, demand.skills_by_level):
+        want, got = table(plain), table(marked)
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    lower = explode_list(df, mark="m", lower=True).where("skill = 'b' AND job_link = 'j6'").collect()
+    assert sorted(r.m for r in lower) == [False, True]  # B and b are one element then
+
+
+def test_marked_skill_tables_have_one_exchange_and_no_expand(spark, tmp_path):
+    path = str(tmp_path / "p")
+    skill_rows(spark).write.parquet(path)
+    marked = explode_list(spark.read.parquet(path), mark=demand.FIRST_MENTION)
+    for table, exchanges in ((demand.top_skills_by_country, 1), (demand.skills_by_level, 1), (demand.top_skills_global, 2)):
+        plan = table(marked)._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and plan.count("Exchange hashpartitioning") == exchanges
+        assert "hashpartitioning(job_link" not in plan and ", job_link" not in plan.split("Exchange")[1].split("\n")[0]
+
+
+def test_wide_matrix_is_bounded_and_whole(spark):
+    rows = [("x", f"s{k}", k) for k in range(1, 30)] + [("y", "s29", 5), ("y", "s1", 1), ("z", "s2", 0)]
+    cells = spark.createDataFrame(rows, "r string, c string, n long")
+    got = {r.r: r for r in demand.wide_matrix(cells, "r", "c", "n", 3, "c").collect()}
+    assert [got["x"][f"c_{k}"] for k in (1, 2, 3)] == [29, 28, 27] and got["x"].other == sum(range(1, 27))
+    assert (got["y"].c_1, got["y"].other, got["y"].total, got["z"].total, got["z"].c_1) == (5, 1, 6, 0, 0)
+    assert got["x"].total == sum(range(1, 30))
+    assert [r.c for r in demand.matrix_columns(cells, "c", "n", 3).orderBy("place").collect()] == ["s29", "s28", "s27"]
+    assert demand.wide_matrix(cells.where("false"), "r", "c", "n", 3, "c").collect() == []
