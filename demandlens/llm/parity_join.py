@@ -208,7 +208,8 @@ def partners(rows: DataFrame, percent: int, most: int) -> DataFrame:
         cut = np.flatnonzero((np.diff(h[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
         block, node, component, own, n = (table.column(c).to_numpy() for c in ("block", "node", "component", "own", "n"))
         lists = table.column("words").combine_chunks()
-        starts, members = lists.offsets.to_numpy(), lists.values.to_numpy()
+        # unsigned: numpy counts the bits of a signed number's magnitude
+        starts, members = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
         out: tuple[list, ...] = ([], [], [])
         for group in np.split(order, cut):
             left = group[block[group] == i[group[0]]]
