@@ -50,6 +50,7 @@ class Run:
         """``data`` has a ``split`` column; ``grids`` replaces the classifiers' own grids by name."""
         self.spark, self.base, self.grids = data.sparkSession, base.rstrip("/"), dict(grids or {})
         self.train, self.test = (part.cache() for part in mlprep.write_parts(data, f"{self.base}/dataset"))
+        self._prepared: mdl.Prepared | None = None
         self._tuned: dict[str, mdl.Tuned] = {}
         self._loaded: dict[str, PipelineModel] = {}
         self._scored: DataFrame | None = None
@@ -57,10 +58,18 @@ class Run:
     def close(self) -> None:
         self.train.unpersist()
         self.test.unpersist()
+        if self._prepared is not None:
+            self._prepared.close()
+
+    def prepared(self) -> mdl.Prepared:
+        """The folds' vectors, shared by all classifiers."""
+        if self._prepared is None:
+            self._prepared = mdl.prepare(self.train)
+        return self._prepared
 
     def tuned(self, name: str) -> mdl.Tuned:
         if name not in self._tuned:
-            self._tuned[name] = mdl.tune(name, self.train, grid=self.grids.get(name))
+            self._tuned[name] = mdl.tune(name, None, grid=self.grids.get(name), prepared=self.prepared())
         return self._tuned[name]
 
     def all_tuned(self) -> list[mdl.Tuned]:

@@ -42,6 +42,41 @@ def test_every_classifier_searches_its_whole_grid_by_default():
     assert mdl.shown({"thresholds": [0.3, 0.7], "smoothing": 1.0}) == "smoothing=1.0,thresholds=0.3|0.7"
 
 
+def test_points_share_fits_that_would_be_equal():
+    assert [len(mdl.CLASSIFIERS[n].fits()) for n in mdl.MODEL_NAMES] == [27, 27, 3, 7]
+    for name in mdl.MODEL_NAMES:
+        assert sorted(p for places in mdl.CLASSIFIERS[name].fits() for p in places) == list(range(27))
+
+
+def test_shared_fits_score_every_point_as_cross_validator_does(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    from demandlens.session import write_once
+
+    grids = {"nb": {"smoothing": [0.5, 2.0], "modelType": ["gaussian", "multinomial", "complement"],
+                    "thresholds": [[0.3, 0.7], [0.6, 0.4]]},
+             "svm": {"regParam": [0.05, 0.5], "threshold": [-0.4, 0.3], "aggregationDepth": [2, 3], "maxIter": [4]},
+             "gbt": {"maxIter": [2], "maxDepth": [1, 3]}, "rf": {"numTrees": [3], "maxDepth": [2, 4]}}
+    train = small_set(spark, 150).drop("split").coalesce(1)
+    folded = write_once(mdl.stratified_folds(train, 3).coalesce(1), "t-folds").cache()
+    prepared = mdl.prepare(train, 3)
+    for name, grid in grids.items():
+        got = mdl.tune(name, None, grid=grid, prepared=prepared)
+        spec = mdl.CLASSIFIERS[name]
+        estimator = spec.make(labelCol=LABEL, featuresCol=SCALED if spec.scaled else ASSEMBLED)
+        search = CrossValidator(
+            estimator=Pipeline(stages=[*feature_stages(scale=spec.scaled), estimator]), numFolds=3, parallelism=4, foldCol="fold",
+            estimatorParamMaps=[{estimator.getParam(k): v for k, v in p.items()} for p in got.points],
+            evaluator=MulticlassClassificationEvaluator(labelCol=LABEL, metricName="f1"))
+        want = search.fit(folded)
+        assert got.scores == pytest.approx(want.avgMetrics, abs=1e-9), name
+        assert len(set(got.scores)) > 1
+        a, b = (m.transform(train).select("prediction").collect() for m in (got.model, want.bestModel))
+        assert a == b
+    prepared.close()
+
+
 def test_grid_tables(spark, run):
     grid = mdl.cv_grid_table(spark, run.all_tuned()).collect()
     assert len(grid) == sum(math.prod(map(len, g.values())) for g in POINT.values())
