@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from demandlens.operators import demand, quality, share
+from demandlens.operators.enrich import enrich
+from demandlens.operators.explode import explode_list
+from demandlens.operators.typing import type_postings
 from demandlens.plans.analytics import clean, enriched, exploded, report_clean
 from demandlens.session import scratch_dir
-from demandlens.sources import files
+from demandlens.sources import catalog, files
 from demandlens.sources import fixtures as fx
 
 
@@ -58,10 +61,65 @@ def q_landed_line_counts(spark, sf):
 
 
 def q_roundtrip_parquet(spark, sf):
+    """The enrichment written once, then replaced by a version written from the stored one."""
     base = scratch_dir(spark, "tables")
-    path = files.write_table(enriched(spark, sf), base, "postings_enriched")
-    files.write_table(enriched(spark, sf), base, "postings_enriched")  # idempotent replace
-    return spark.read.parquet(path)
+    files.replace_table(enriched(spark, sf), base, "postings_enriched")
+    files.replace_table(files.current_table(spark, base, "postings_enriched"), base, "postings_enriched")
+    return files.current_table(spark, base, "postings_enriched")
+
+
+def q_scan_csv_split(spark, sf):
+    """The CSV export read by many tasks a file, line breaks inside quotes included."""
+    src = raw_wide(spark, sf)
+    path = scratch_dir(spark, "csv")
+    files.write_csv(src, path)
+    return files.scan_csv(spark, path, _all_strings(src.columns), split=True)
+
+
+#: Buckets of the stored source tables; a cluster passes a few times its cores.
+BUCKETS = 8
+
+
+def stored_sources(spark, sf, database, buckets=BUCKETS):
+    """The three typed sources as catalog tables of ``database``, bucketed and sorted by the posting key."""
+    folder = scratch_dir(spark, database)
+    before = spark.catalog.currentDatabase()
+    catalog.ensure_database(spark, database, folder)
+    sources = {"postings": type_postings(fx.postings_raw(spark, sf)), "skills": fx.skills_raw(spark, sf),
+               "summary": fx.summary_raw(spark, sf)}
+    for name, df in sources.items():
+        # an own folder for each call: a former call's readers keep their files
+        files.save_bucketed(df, f"{database}.{name}", "job_link", buckets, f"{folder}/{name}")
+    spark.catalog.setCurrentDatabase(before)
+    return {name: f"{database}.{name}" for name in sources}
+
+
+def q_catalog_enrich(spark, sf):
+    """The enrichment of bucketed catalog tables, read by name and joined without an exchange."""
+    names = stored_sources(spark, sf, "demandlens_sources")
+    return enrich(*[spark.table(names[n]) for n in ("postings", "skills", "summary")])
+
+
+def q_catalog_tables(spark, sf):
+    """What the catalog lists: the stored tables and the views over them, with the rows that each name reads."""
+    names = stored_sources(spark, sf, "demandlens_listing")
+    catalog.register_views({"listing_postings": spark.table(names["postings"]).select("job_link"),
+                            "listing_skills": explode_list(spark.table(names["skills"]), keep=["job_link"])})
+    listed = catalog.list_tables(spark, "demandlens_listing").where(
+        "namespace = 'demandlens_listing' OR tableName LIKE 'listing\\_%'")
+    counts = None
+    for name in (*names.values(), "listing_postings", "listing_skills"):
+        part = spark.table(name).agg(F.count("*").alias("row_count")).select(
+            F.lit(name.split(".")[-1]).alias("table_name"), "row_count")
+        counts = part if counts is None else counts.unionByName(part)
+    return listed.select(F.col("tableName").alias("table_name"), F.col("isTemporary").alias("is_view")).join(counts, "table_name")
+
+
+def q_report_roundtrip(spark, sf):
+    """The null coverage report as its TSV file holds it."""
+    report = quality.null_coverage(report_clean(spark, sf))
+    path = files.write_report({"null_coverage": report}, scratch_dir(spark, "report"))[0]
+    return spark.read.csv(path, schema=report.schema, sep="\t", header=True)
 
 
 _MATRIX_SCHEMA = "search_country string, skill string, skill_mentions bigint, posting_count bigint"
@@ -114,6 +172,10 @@ QUERIES = {
     "export_type_shares": q_export_type_shares,
     "export_characteristics": q_export_characteristics,
     "scan_csv": q_scan_csv,
+    "scan_csv_split": q_scan_csv_split,
+    "catalog_enrich": q_catalog_enrich,
+    "catalog_tables": q_catalog_tables,
+    "report_roundtrip": q_report_roundtrip,
     "land_delimited": q_land_delimited,
     "scan_delimited": q_scan_delimited,
     "landed_line_counts": q_landed_line_counts,

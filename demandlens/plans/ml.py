@@ -10,12 +10,16 @@ driver.  ``close`` releases what a run holds.
 
 The registered queries share the run of their input.  An input is told apart by
 its files' names, sizes and times, so a changed folder is trained anew, and the
-run of the former is closed.
+run of the former is closed.  Where the cluster names a shared folder, finished
+searches are published there under the input's mark, so that each is done once
+and not once a process.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
@@ -31,6 +35,7 @@ from demandlens.operators import metrics
 from demandlens.plans import mlprep
 from demandlens.session import scratch_dir
 from demandlens.sources import fixtures as fx
+from demandlens.sources import versions
 
 SCORED = (*mdl.MODEL_NAMES, "ensemble")
 
@@ -51,6 +56,7 @@ class Run:
         self.spark, self.base, self.grids = data.sparkSession, base.rstrip("/"), dict(grids or {})
         self.train, self.test = (part.cache() for part in mlprep.write_parts(data, f"{self.base}/dataset"))
         self._prepared: mdl.Prepared | None = None
+        self._stored_as: str | None = None
         self._tuned: dict[str, mdl.Tuned] = {}
         self._loaded: dict[str, PipelineModel] = {}
         self._scored: DataFrame | None = None
@@ -68,10 +74,19 @@ class Run:
         return self._prepared
 
     def tuned(self, name: str) -> mdl.Tuned:
+        """The searched and refitted model; a kept one of the same data and grid is loaded."""
         if name not in self._tuned:
-            self._tuned[name] = mdl.tune(name, None, grid=self.grids.get(name), prepared=self.prepared())
+            kept = self._stored_as and stored_search(self.spark, self._stored_as, name, self.grids.get(name))
+            self._tuned[name] = kept or mdl.tune(name, None, grid=self.grids.get(name), prepared=self.prepared())
+            if self._stored_as and not kept:
+                store_search(self.spark, self._stored_as, self._tuned[name])
         return self._tuned[name]
 
+    def keep_in(self, folder: str) -> Run:
+        """Keep searches under ``folder`` and take those that are there; it must belong to this data alone."""
+        self._stored_as = folder.rstrip("/")
+        return self
+
     def all_tuned(self) -> list[mdl.Tuned]:
         return [self.tuned(name) for name in mdl.MODEL_NAMES]
 
@@ -94,13 +109,22 @@ class Run:
             self._scored = self.spark.read.parquet(path)
         return self._scored
 
-    def metrics_of(self, name: str) -> DataFrame:
+    def scored_by(self, name: str) -> DataFrame:
+        """The test part with one model's columns; no other model is trained for it."""
+        if self._scored is not None:
+            return self._scored
+        path = f"{self.base}/scored_by_{name}"
+        score_with({name: self.model(name)}, self.test, [name], margins=True).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def metrics_of(self, name: str, alone: bool = False) -> DataFrame:
         """One row: accuracy, weighted F1 and both curve areas on the test part.
 
-        A model's curves are drawn from its margin, the ensemble's from its mean probability.
+        A model's curves are drawn from its margin, the ensemble's from its mean
+        probability.  ``alone`` trains no other model for it.
         """
         score = "prob_ensemble" if name == "ensemble" else f"margin_{name}"
-        row = metrics.binary_metrics(self.scored(), LABEL, f"pred_{name}", score)
+        row = metrics.binary_metrics(self.scored_by(name) if alone else self.scored(), LABEL, f"pred_{name}", score)
         return row.select(F.lit(name).alias("model"), *row.columns)
 
     def model_metrics(self) -> DataFrame:
@@ -144,35 +168,71 @@ class Run:
                 "ensemble_info": self.ensemble_info(), "predictions": self.predictions()}
 
 
+def store_search(spark: SparkSession, folder: str, tuned: mdl.Tuned) -> None:
+    """Publish the model and the score of every grid point as one version."""
+    rows = [(mdl.shown(p), float(s)) for p, s in zip(tuned.points, tuned.scores, strict=True)]
+
+    def write(path: str) -> None:
+        tuned.model.write().save(f"{path}/model")
+        spark.createDataFrame(rows, "params string, score double").coalesce(1).write.parquet(f"{path}/grid")
+
+    versions.publish(spark, folder, tuned.name, write)
+
+
+def stored_search(spark: SparkSession, folder: str, name: str, grid: Mapping | None) -> mdl.Tuned | None:
+    """The search published for this classifier, if it was over the same points."""
+    path = versions.current(spark, folder, name)
+    if path is None:
+        return None
+    spec = mdl.CLASSIFIERS[name]
+    points = (replace(spec, grid=grid) if grid is not None else spec).points()
+    scores = {r.params: r.score for r in spark.read.parquet(f"{path}/grid").collect()}  # a row for each grid point
+    if sorted(scores) != sorted(map(mdl.shown, points)):
+        return None
+    return mdl.Tuned(name, PipelineModel.load(f"{path}/model"), points, [scores[mdl.shown(p)] for p in points])
+
+
 _runs: dict[str, tuple[str, Run]] = {}
 
 
+def searches_folder(spark: SparkSession, mark: str) -> str | None:
+    """Where processes of one cluster share the searches of an input: in the folder that it names, else nowhere."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared.rstrip('/')}/demandlens-searches/{hashlib.sha256(mark.encode()).hexdigest()[:32]}" if shared else None
+
+
 def fingerprint(spark: SparkSession, sf: str) -> str:
-    """Application, and names, sizes and times of the input's files (file-system metadata only)."""
+    """Names, sizes and times of the input's files (file-system metadata only)."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = []
     for table in fx.TABLES:
         for f in files.listStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/{table}.parquet")):
             found.append(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
-    return "|".join([spark.sparkContext.applicationId, *sorted(found)])
+    return "|".join([sf.rstrip("/"), *sorted(found)])
 
 
 def run_of(spark: SparkSession, sf: str) -> Run:
-    """The run over this input; a changed input gets a new one."""
-    mark = fingerprint(spark, sf)
+    """The run over this input; a changed input gets a new one.
+
+    Its searches are kept in the cluster's shared folder, where other processes find them.
+    """
+    files, application = fingerprint(spark, sf), spark.sparkContext.applicationId
+    mark = f"{application}|{files}"
     known = _runs.get(sf)
     if known is None or known[0] != mark:
-        if known is not None and known[0].split("|")[0] == spark.sparkContext.applicationId:
+        if known is not None and known[0].split("|")[0] == application:
             known[1].close()
-        _runs[sf] = (mark, Run(mlprep.dataset(spark, sf), scratch_dir(spark, "ml-run")))
+        run = Run(mlprep.dataset(spark, sf), scratch_dir(spark, "ml-run"))
+        folder = searches_folder(spark, files)
+        _runs[sf] = (mark, run.keep_in(folder) if folder else run)
     return _runs[sf][1]
 
 
 def _train_row(spark, sf, name) -> DataFrame:
     run = run_of(spark, sf)
     best = mdl.best_params_table(spark, [run.tuned(name)]).drop("model").collect()[0]  # one row of metadata
-    row = run.metrics_of(name)
+    row = run.metrics_of(name, alone=True)
     return row.select("model", F.lit(best[0]).alias("best_params"), F.lit(best[1]).alias("cv_f1"),
                       *row.columns[1:])
 

@@ -223,6 +223,9 @@ FROM fx_enriched""",
 }
 
 
+BODIES["report_roundtrip"] = BODIES["null_coverage"]
+
+
 def _matrix_sql(source: str, row: str, column: str, where: str, prefix: str, top: int = 10) -> str:
     """A wide matrix: counts of the ``top`` column values with the most rows, and of all others."""
     cells = "".join(f", count(*) FILTER (place = {k}) AS {prefix}_{k}" for k in range(1, top + 1))
@@ -510,6 +513,14 @@ SELECT 'postings' AS table_name, count(*) AS line_count FROM fx_postings
 UNION ALL SELECT 'skills', count(*) FROM fx_skills
 UNION ALL SELECT 'summary', count(*) FROM fx_summary""",
     "roundtrip_parquet": "SELECT * FROM fx_enriched",
+    "catalog_enrich": "SELECT * FROM fx_enriched",
+    "catalog_tables": """
+SELECT 'postings' AS table_name, false AS is_view, count(*) AS row_count FROM fx_typed
+UNION ALL SELECT 'skills', false, count(*) FROM fx_skills
+UNION ALL SELECT 'summary', false, count(*) FROM fx_summary
+UNION ALL SELECT 'listing_postings', true, count(*) FROM fx_typed
+UNION ALL SELECT 'listing_skills', true, count(*) FROM (
+  SELECT unnest(string_split(job_skills, ',')) AS skill FROM fx_skills) WHERE trim(skill) <> ''""",
     "preview_topn": _top("search_country, skill, count(*) AS skill_mentions, "
                          "count(DISTINCT job_link) AS posting_count", "fx_exploded",
                          "WHERE search_country <> 'unknown'", "search_country, skill",
@@ -529,5 +540,8 @@ UNION ALL SELECT 'summary', count(*) FROM fx_summary""",
 }
 
 
+IO_BODIES["scan_csv_split"] = IO_BODIES["scan_csv"]
+
+
 def io_oracle_sql() -> dict[str, str]:
     return {key: PREFIX + IO_CTES + body.strip() for key, body in IO_BODIES.items()}

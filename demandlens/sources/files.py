@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.sources import csv_split
+from demandlens.sources import csv_split, versions
 
 # Fixed values of the landing format.
 FIELD_SEP = "\u0001"
@@ -130,6 +130,40 @@ def write_table(df: DataFrame, base_path: str, name: str, mode: str = "overwrite
     return path
 
 
+def replace_table(df: DataFrame, base_path: str, name: str, partition_by: Sequence[str] = (), keep: int = 1) -> str:
+    """A new version of the Parquet table ``base/name``; returns the version's folder.
+
+    The former version stays readable until the new one is complete and published
+    (``versions``), so ``df`` may read it.  ``current_table`` reads the last one.
+    """
+    spark = df.sparkSession
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    path = versions.publish(spark, base_path, name, writer.parquet)
+    versions.drop_old(spark, base_path, name, keep)
+    return path
+
+
+def current_table(spark: SparkSession, base_path: str, name: str) -> DataFrame:
+    """The version of ``base/name`` that was published last."""
+    path = versions.current(spark, base_path, name)
+    if path is None:
+        raise FileNotFoundError(f"no table {base_path.rstrip('/')}/{name} was published")
+    return spark.read.parquet(path)
+
+
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Catalog table dealt into ``buckets`` by a hash of ``key`` and sorted by it inside each.
+
+    Tables bucketed alike are joined and grouped on the key without an exchange (Spark
+    sorts a bucket again unless told to trust the order of its files).
+    Rows are dealt before the write, so each bucket is one file.
+    """
+    w = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+
+
 def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite") -> None:
     """Catalog table stored as Parquet (optionally at an explicit location)."""
     w = df.write.mode(mode).format("parquet")

@@ -181,3 +181,27 @@ def test_medians_of_an_empty_test_part_are_zero(spark):
     assert len(rows) == len(mlprep.SCENARIOS) and all(r.group_count == 0 and r.summary_coverage == 0 for r in rows)
     with pytest.raises(ValueError, match="nothing to learn"):
         mlprep.write_parts(small_set(spark).where("false"), scratch_dir(spark, "t-empty"))
+
+
+def test_searches_are_kept_for_other_processes(spark, run, monkeypatch):
+    folder = scratch_dir(spark, "t-searches")
+    grid = {"nb": POINT["nb"]}
+    first = mlplan.Run(small_set(spark), scratch_dir(spark, "t-run"), grid).keep_in(folder)
+    want = first.tuned("nb")
+    first.close()
+    again = mlplan.Run(small_set(spark), scratch_dir(spark, "t-run"), grid).keep_in(folder)
+    monkeypatch.setattr(mdl, "tune", lambda *a, **k: pytest.fail("searched again"))
+    got = again.tuned("nb")
+    assert got.scores == want.scores and got.points == want.points
+    rows = again.test.orderBy(*again.test.columns)
+    assert got.model.transform(rows).select("prediction").collect() == want.model.transform(rows).select("prediction").collect()
+    other = {"nb": {"modelType": ["complement"]}}
+    assert mlplan.stored_search(spark, folder, "nb", other["nb"]) is None  # another grid is another search
+    again.close()
+
+
+def test_one_model_is_scored_without_training_the_others(spark):
+    alone = mlplan.Run(small_set(spark), scratch_dir(spark, "t-run"), POINT)
+    row = alone.metrics_of("nb", alone=True).first()
+    assert set(alone._tuned) == {"nb"} and row.model == "nb" and 0 <= row.auc_roc <= 1
+    alone.close()
