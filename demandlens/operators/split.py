@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DRAW_BITS = 60
+#: Rows of a sample up to which they are merged in one task.
+MERGED_ROWS = 100_000
 
 
 def hash_key(keys: Sequence[str], seed: int = 42) -> Column:
@@ -56,7 +58,32 @@ def random_split(df: DataFrame, train_fraction: float = 0.7, seed: int = 42):
 def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """Seeded sample of exactly ``min(n, rows)`` rows, stable for any partitioning.
 
-    ``ORDER BY md5(key|seed), key LIMIT n`` plans as ``TakeOrderedAndProject``:
-    each partition keeps its n best rows, only those are merged.
+    Up to ``MERGED_ROWS`` rows: ``ORDER BY md5(key|seed), key LIMIT n`` plans as
+    ``TakeOrderedAndProject``: each partition keeps its n best rows, only those are
+    merged.  A larger sample is the same rows by ``sample_by_threshold``, in no order.
     """
+    if n > MERGED_ROWS:
+        return sample_by_threshold(df, keys, n, seed)
     return df.orderBy(F.md5(hash_key(keys, seed)), *[F.col(k) for k in keys]).limit(n)
+
+
+def sample_by_threshold(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42, bits: int = 16) -> DataFrame:
+    """The ``n`` rows of the smallest draws without gathering them in one task.
+
+    Rows are counted by the first ``bits`` bits of their draw; the counts (2**bits rows
+    at most) tell in which bucket the sample ends and how many rows it takes from it.
+    All earlier buckets are kept by a plain filter; only the last bucket, one part in
+    2**bits of the table, is put in order.
+    """
+    draw = F.md5(hash_key(keys, seed))
+    bucket = F.conv(F.substring(draw, 1, 15), 16, 10).cast("long")
+    rows = df.withColumns({"__bucket": F.shiftright(bucket, 60 - bits), "__draw": draw})
+    counts = rows.groupBy("__bucket").agg(F.count("*").alias("c"))
+    before = F.coalesce(F.sum("c").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    end = (counts.select("__bucket", before.alias("before")).where(F.col("before") < n)
+           .agg(F.max(F.struct("__bucket", (F.lit(n) - F.col("before")).alias("left"))).alias("end")).select("end").scalar())
+    whole = rows.where(F.col("__bucket") < end.getField("__bucket"))
+    order = Window.partitionBy("__bucket").orderBy("__draw", *keys)
+    part = (rows.where(F.col("__bucket") == end.getField("__bucket"))
+            .withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= end.getField("left")).drop("__place"))
+    return whole.unionByName(part).drop("__bucket", "__draw")

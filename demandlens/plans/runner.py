@@ -37,25 +37,30 @@ def run(spark: SparkSession, sf: str, out: str, train_models: bool = True,
     raw = {"postings": fx.postings_raw(spark, sf), "skills": fx.skills_raw(spark, sf),
            "summary": fx.summary_raw(spark, sf)}
     # Stage 1: land the three sources as \001 text, read them back, store them typed.
-    typed = {}
+    typed, seen = {}, {}
     for name, df in raw.items():
         files.land_delimited(df, f"{out}/raw/{name}")
         landed = files.scan_delimited(spark, f"{out}/raw/{name}", df.columns)
         shaped = type_postings(landed) if name == "postings" else landed
-        typed[name] = spark.read.parquet(files.write_table(shaped, f"{out}/typed", name))
-    enriched_path = files.write_table(enrich(typed["postings"], typed["skills"], typed["summary"]),
-                                      f"{out}/enriched", "postings_enriched")
+        path, seen[name] = files.write_counted(
+            shaped, f"{out}/typed", name, quality.count_measures() | (quality.range_measures() if name == "postings" else {}))
+        typed[name] = spark.read.parquet(path)
+    enriched_path, seen["enriched"] = files.write_counted(
+        enrich(typed["postings"], typed["skills"], typed["summary"]), f"{out}/enriched", "postings_enriched",
+        quality.count_measures() | quality.coverage_measures())
     # Quality reports of the typed sources and the wide table, as TSV.
     wide = spark.read.parquet(enriched_path)
     files.write_report({
-        "table_counts": quality.table_counts({**typed, "enriched": wide}),
+        # counted while the tables were written
+        "table_counts": spark.createDataFrame([(n, int(v["row_count"])) for n, v in seen.items()],
+                                              "table_name string, row_count long"),
         "distinct_keys": quality.distinct_keys(typed),
-        "time_range": quality.time_range(typed["postings"]),
+        "time_range": quality.seen_row(spark, seen["postings"], quality.time_range(typed["postings"])),
         "join_coverage": join_coverage(typed["postings"], "job_link",
                                        {"postings_with_skills": typed["skills"],
                                         "postings_with_summary": typed["summary"]}),
         "distributions": quality.value_distribution(typed["postings"], ["job_level", "job_type"]),
-        "enriched_coverage": quality.enriched_coverage(wide),
+        "enriched_coverage": quality.seen_row(spark, seen["enriched"], quality.enriched_coverage(wide)),
     }, f"{out}/reports")
     # Stage 2: analytics tables and previews.
     tables = eda.build_all(spark, enriched_path, f"{out}/analytics", f"{out}/previews")

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from demandlens.sources import csv_split, versions
@@ -130,6 +130,18 @@ def write_table(df: DataFrame, base_path: str, name: str, mode: str = "overwrite
     return path
 
 
+def write_counted(df: DataFrame, base_path: str, name: str, metrics: Mapping[str, Column],
+                  partition_by: Sequence[str] = ()) -> tuple[str, dict]:
+    """``write_table`` that also takes aggregates while the rows go by; returns path and values.
+
+    ``metrics`` are non-distinct aggregates (counts, ranges, class counts).  They come
+    from the writing tasks, so no report reads the table again.
+    """
+    seen = Observation(f"write-{name}")
+    path = write_table(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), base_path, name, partition_by=partition_by)
+    return path, seen.get
+
+
 def replace_table(df: DataFrame, base_path: str, name: str, partition_by: Sequence[str] = (), keep: int = 1) -> str:
     """A new version of the Parquet table ``base/name``; returns the version's folder.
 

@@ -37,6 +37,29 @@ def test_sample_n_exact_and_stable(spark):
     assert len(a) == 20 and a == b
 
 
+def test_large_samples_are_the_same_rows(spark):
+    from demandlens.operators import split
+
+    df = spark.range(0, 3000).select(F.concat(F.lit("k"), F.col("id") % 2900).alias("k"), (F.col("id") * 7).alias("v"))
+    for n in (0, 1, 20, 1500, 2999, 3000, 5000):
+        for bits in (2, 16):
+            got = sorted(r.k for r in split.sample_by_threshold(df.repartition(5), ["k"], n, bits=bits).collect())
+            want = sorted(r.k for r in split.sample_n(df, ["k"], n).collect())
+            assert got == want and len(got) == min(n, 3000)
+    assert split.sample_by_threshold(df.where("false"), ["k"], 5).collect() == []
+
+
+def test_a_large_sample_is_not_gathered(spark, monkeypatch):
+    from demandlens.operators import split
+
+    df = spark.range(0, 2000).select(F.col("id").cast("string").alias("k"))
+    monkeypatch.setattr(split, "MERGED_ROWS", 100)
+    large = split.sample_n(df, ["k"], 1000)
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan
+    assert large.count() == 1000 and large.exceptAll(df).count() == 0
+
+
 def test_quantile_label_fit_on_train_only(spark):
     rows = [("p", "a", 1), ("p", "b", 2), ("p", "c", 10), ("q", "d", 5)]
     df = spark.createDataFrame(rows, "search_position string, k string, group_count long")

@@ -37,6 +37,22 @@ def test_runner_writes_every_stage(spark):
     assert "exploded_skills" in {r.tableName for r in list_tables(spark).collect()}
 
 
+def test_reports_taken_during_writes_equal_those_read_from_the_tables(spark):
+    from demandlens.operators import quality
+
+    base = scratch_dir(spark, "t-seen")
+    path, seen = files.write_counted(fx.enriched(spark, SF_SMALL), base, "wide",
+                                     quality.count_measures() | quality.coverage_measures() | quality.range_measures())
+    wide = spark.read.parquet(path)
+    for report in (quality.enriched_coverage(wide), quality.time_range(wide)):
+        taken = quality.seen_row(spark, seen, report)
+        assert taken.schema.simpleString() == report.schema.simpleString() and taken.collect() == report.collect()
+        assert taken.inputFiles() == []  # no second scan
+    assert seen["row_count"] == wide.count() > 0
+    empty = files.write_counted(fx.enriched(spark, SF_SMALL).where("false"), base, "none", quality.count_measures())[1]
+    assert empty == {"row_count": 0}
+
+
 def test_runner_checks_its_sources_first(spark, tmp_path):
     import pytest
 
