@@ -3,15 +3,17 @@
 Side A is a byte-level vocabulary of ``tokenizers``, read over a space and the text;
 side B is a ``sentencepiece`` vocabulary with byte fallback, which adds that space
 itself.  A token's place comes from the tokenizer's spans first: character offsets on
-side A, the spans of sentencepiece's proto on side B.  They are coarse cuts, as several
+side A, the spans of sentencepiece's proto on side B (its offset mapping, as the immutable
+proto is gone from current versions).  They are coarse cuts, as several
 tokens of one multibyte character share a span (A) or have an empty one (byte fallback
 in B).  Inside such a stretch the decoded bytes of the tokens give the ends.  Where both
 sides end a token at one byte offset the text is cut into a group; the two tokens that
 end there are linked.
 
 Neither side merges over the edge of a word (A: a match of the vocabulary's own pattern;
-B: spaces and what follows up to the next space), so each worker aligns a distinct word
-once and remembers it; texts are then put together from their words with numpy.  Whole
+B: spaces and what follows up to the next space, or, where no piece has both, up to the
+border of ASCII letters or digits and other ASCII characters), so each worker aligns a
+distinct word once and remembers it; texts are then put together from their words with numpy.  Whole
 texts of any length are read, and memory grows with one batch and the remembered words.
 
 Corpus-wide counts of linked id pairs are a grouped sum in Spark.  Their table is at most
@@ -43,13 +45,17 @@ from pyspark.sql.types import ArrayType, IntegerType, StructType
 from demandlens.llm.common import materialize, text_or_empty
 
 #: Words that a worker remembers for each side before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Bytes of text whose new words are encoded together.
 TOGETHER = 1 << 19
+#: Characters of words that are encoded as one text.
+JOINED = 1000
 MAX_BROADCAST_PAIRS = 2_000_000
 #: A pair of ids in one number: a * WIDTH_B + b.
 WIDTH_B = 1 << 15
 SPACE = "▁"
+ALNUM, MARK, WIDE = "[0-9A-Za-z]", r"[\x00-\x1F!-/:-@\[-`{-\x7F]", r"[^\x00-\x7F]"
+WORD_B = f" +(?:{ALNUM}+|{MARK}+)?(?:{WIDE}+(?:{ALNUM}+|{MARK}+)?)*|(?:{ALNUM}+|{MARK}+)(?:{WIDE}+(?:{ALNUM}+|{MARK}+)?)*"
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
@@ -88,7 +94,7 @@ class Side:
     """The words of one tokenizer that a worker has met: ids and byte ends in flat arrays.
 
     ``encode`` gives the ids of all tokens of some words, how many each word has, their
-    ends in the joined words' bytes, and whether each word's bytes come back.
+    ends in the word's bytes, and whether each word's bytes come back.
     """
 
     def __init__(self, encode: Callable[[list[str], np.ndarray], tuple[np.ndarray, ...]], remembered: int):
@@ -111,13 +117,12 @@ class Side:
         if new:
             lengths = np.array([len(w) if w.isascii() else len(w.encode()) for w in new], np.int64)
             ids, sizes, ends, good = self.encode(new, lengths)
-            before = np.cumsum(lengths) - lengths
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.good = np.concatenate([self.good, good])
             self.ids = np.concatenate([self.ids, ids])
-            self.ends = np.concatenate([self.ends, ends - np.repeat(before, sizes)])
+            self.ends = np.concatenate([self.ends, ends])
         return out
 
     def tokens(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
@@ -136,6 +141,23 @@ def flat(lists: list[list[int]], kind: type) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(lists), kind, int(sizes.sum())), sizes
 
 
+def grouped(words: list[str], joinable: list[bool], fillers: list[str]) -> tuple[list[str], list[tuple[int, str]]]:
+    """Texts of some ``JOINED`` characters of words with their fillers, the others alone; and the words' order in them."""
+    texts, order, part, size = [], [], [], 0
+    for i, joins in enumerate(joinable):
+        if joins:
+            part.append(fillers[i] + words[i])
+            order.append((i, fillers[i]))
+            size += len(part[-1])
+            if size >= JOINED:
+                texts.append("".join(part))
+                part, size = [], 0
+    if part:
+        texts.append("".join(part))
+    alone = [i for i, joins in enumerate(joinable) if not joins]
+    return texts + [fillers[i] + words[i] for i in alone], order + [(i, fillers[i]) for i in alone]
+
+
 def come_back(words: list[str], lengths: np.ndarray, tokens: list[bytes], sizes: np.ndarray) -> np.ndarray:
     """Whether the joined tokens of each word are its bytes."""
     of = np.repeat(np.arange(len(words)), sizes)
@@ -159,7 +181,6 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=file_b)
         self.words_a = regex.compile(pattern).findall
-        self.words_b = re.compile(" +[^ ]*").findall
         alphabet = byte_alphabet()
         size_a, size_b = self.a.get_vocab_size(), self.b.get_piece_size()
         if size_b > WIDTH_B:
@@ -169,6 +190,11 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(size_b)]
         if any(SPACE in p.lstrip(SPACE) for p in pieces):
             raise ValueError("side B has pieces that go over the edge of a word")
+        mixed = re.compile(f"{ALNUM}{MARK}|{MARK}{ALNUM}")
+        whole_words = any(mixed.search(p) for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i)
+                                                                               or self.b.is_unknown(i)))
+        # no piece has an ASCII letter or digit beside another ASCII character: words end there too
+        self.words_b = re.compile(" +[^ ]*" if whole_words else WORD_B).findall
         self.fallback = np.array([self.b.is_byte(i) for i in range(size_b)])
         self.bytes_b = [bytes([int(p[3:5], 16)]) if byte else p.replace(SPACE, " ").encode()
                         for p, byte in zip(pieces, self.fallback, strict=True)]
@@ -178,37 +204,62 @@ class Aligner:
         self.decimals = [f"{i}{mark}".encode() for i in range(max(size_a, size_b)) for mark in ",|;"]
 
     def encode_a(self, words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-        found = self.a.encode_batch(words, add_special_tokens=False)
-        ids, sizes = flat([f.ids for f in found], np.int32)
+        # words that begin with one space are cut out of a joined text as they were out of their own
+        joinable = [w[0] == " " and not w[1:2].isspace() and len(w) > 1 for w in words]
+        texts, order = grouped(words, joinable, [""] * len(words))
+        found = self.a.encode_batch(texts, add_special_tokens=False)
+        ids, counts = flat([f.ids for f in found], np.int32)
         spans = np.fromiter(chain.from_iterable(chain.from_iterable(f.offsets for f in found)), np.int64, 2 * len(ids))
-        # characters counted through all words
-        points = np.fromiter(map(len, words), np.int64, len(words))
-        spans = spans.reshape(-1, 2) + np.repeat(np.cumsum(points) - points, sizes)[:, None]
+        return self.placed(words, lengths, order, texts, ids, counts, spans, self.bytes_a, self.lengths_a, None)
+
+    def encode_b(self, words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+        # a word without a space in front stands after a filler that it can't merge with
+        fillers = ["" if w[0] == " " else " ." if w[0].isalnum() else " a" for w in words]
+        joinable = [SPACE not in w and w.strip(" ") != "" for w in words]
+        texts, order = grouped(words, joinable, fillers)
+        # sentencepiece puts the first space of a text itself, except before nothing
+        found = self.b.encode([t[1:] for t in texts], return_type="offset_mapping", num_threads=1)
+        lone = {"ids": [self.lone_space], "offsets": [(0, 0)]}
+        found = [lone if t == " " else f for t, f in zip(texts, found, strict=True)]
+        ids, counts = flat([f["ids"] for f in found], np.int32)
+        spans = np.fromiter(chain.from_iterable(chain.from_iterable(f["offsets"] for f in found)), np.int64, 2 * len(ids))
+        # so spans are one character short of the text's; the first token may hold that space
+        spans = (spans.reshape(-1, 2) + 1).ravel()
+        return self.placed(words, lengths, order, texts, ids, counts, spans, self.bytes_b, self.lengths_b, self.fallback)
+
+    @staticmethod
+    def placed(words: list[str], lengths: np.ndarray, order: list[tuple[int, str]], texts: list[str], ids: np.ndarray,
+               counts: np.ndarray, spans: np.ndarray, decoded: list[bytes], sizes_of: np.ndarray,
+               fallback: np.ndarray | None) -> tuple[np.ndarray, ...]:
+        """Ids, number of tokens, byte ends and soundness of each word, from the tokens and spans of the joined texts."""
+        whole = "".join(texts)
+        points = np.fromiter(map(len, texts), np.int64, len(texts))
+        spans = spans.reshape(-1, 2) + np.repeat(np.cumsum(points) - points, counts)[:, None]
         begin, end = spans[:, 0], spans[:, 1]
         # a token ends between two characters if the next one starts where it ends
-        clean = (begin < end) & (end == np.append(begin[1:], points.sum()))
-        if (points == lengths).all():
+        clean = (begin < end) & (end == np.append(begin[1:], len(whole)))
+        if fallback is not None:
+            clean = (begin < end) & ~fallback[ids]
+        if whole.isascii():
+            wide = None
             cuts = end
         else:
-            code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-            wide = 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000)
-            cuts = np.concatenate([[0], np.cumsum(wide)])[end]
-        tokens = [self.bytes_a[i] for i in ids.tolist()]
-        return (ids, sizes, refined(np.where(clean, cuts, -1), self.lengths_a[ids]),
-                come_back(words, lengths, tokens, sizes))
-
-    def encode_b(self, words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-        # sentencepiece puts the first space of a word itself, except before nothing
-        found = [f.pieces for f in self.b.encode([w[1:] for w in words], return_type="proto", num_threads=1)]
-        ids, sizes = flat([[p.id for p in f] if f else [self.lone_space] for f in found], np.int32)
-        # spans are bytes of the word without its first space
-        begin, _ = flat([[p.begin for p in f] if f else [0] for f in found], np.int64)
-        end, _ = flat([[p.end for p in f] if f else [0] for f in found], np.int64)
-        cuts = end + 1 + np.repeat(np.cumsum(lengths) - lengths, sizes)
-        clean = (begin < end) & ~self.fallback[ids]
-        tokens = [self.bytes_b[i] for i in ids.tolist()]
-        return (ids, sizes, refined(np.where(clean, cuts, -1), self.lengths_b[ids]),
-                come_back(words, lengths, tokens, sizes))
+            code = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+            wide = np.concatenate([[0], np.cumsum(1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000))])
+            cuts = wide[end]
+        ends = refined(np.where(clean, cuts, -1), sizes_of[ids])
+        # the words' places in the joined texts, fillers between them
+        parts = np.array([[len(filler), len(words[w])] for w, filler in order], np.int64).reshape(-1)
+        edges = np.cumsum(parts)
+        edges = (edges if wide is None else wide[edges]).reshape(-1, 2)
+        first, after = np.searchsorted(ends, edges[:, 0], "right"), np.searchsorted(ends, edges[:, 1], "right")
+        back = np.empty(len(words), np.int64)
+        back[[w for w, _ in order]] = np.arange(len(words))
+        first, sizes, start = first[back], (after - first)[back], edges[back, 0]
+        at = np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
+        ids = ids[at]
+        good = come_back(words, lengths, [decoded[i] for i in ids.tolist()], sizes)
+        return ids, sizes, ends[at] - np.repeat(start, sizes), good
 
     def align(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None]:
         """For each text ids and byte ends of A, then of B; None for a text without tokens."""
