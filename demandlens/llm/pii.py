@@ -72,7 +72,8 @@ _UP, _LOW = "A-ZÀ-ÖØ-ÞА-ЯЁ", "a-zß-öø-ÿа-яё"
 _CAP = rf"(?:[{_UP}][{_LOW}]+|[{_UP}]{{2,}})(?:-[{_UP}][{_LOW}{_UP}]+)?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PERSON = re.compile(rf"(?<!\w)({'|'.join(TITLES)})(\.?[ \t]+)({_CAP}(?:[ \t]+{_CAP}){{0,2}})(?!\w)")
-PAIR = re.compile(rf"(?<!\w)({_CAP})[ \t]+({_CAP})(?!\w)")
+#: Looks ahead, so that every capitalised word is tried as the first of a pair.
+PAIR = re.compile(rf"(?<!\w)(?=({_CAP})[ \t]+({_CAP})(?!\w))")
 NAME = re.compile(_CAP)
 LOCAL, DOMAIN = re.compile(r"[A-Za-z0-9._%+\-]"), re.compile(r"[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}")
 DIGIT = re.compile(r"\d")
@@ -88,6 +89,10 @@ ASSIGNED = re.compile(r"(?i)(?<!\w)(?:token|secret|password|passwd|api[_\-]?key|
                       r"[\"']?([A-Za-z0-9+/_\-]{12,})")
 
 
+#: Rounds of drawing anew after which a form counts as crowded out.
+MAX_ROUNDS = 40
+
+
 class Found(NamedTuple):
     start: int
     end: int
@@ -127,7 +132,7 @@ def _names(text: str) -> Iterator[tuple[int, int, str, str]]:
     mentions = []
     if any(title in text for title in TITLES):
         mentions += [(m.group(3), TITLES[m.group(1)]) for m in PERSON.finditer(text)]
-    mentions += [(m.group(), "") for m in PAIR.finditer(text)
+    mentions += [(f"{m.group(1)} {m.group(2)}", "") for m in PAIR.finditer(text)
                  if m.group(1).lower() in GENDER_OF and m.group(2).lower() not in GENDER_OF]
     for full, title in mentions:
         words = NAME.findall(full)
@@ -240,6 +245,8 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         if len(entity) == 11 and entity[0] == "1":
             # the exchange 555 has ten million numbers; no area code begins with 0 or 1
             return "1" + new[1:4] + "555" + new[7:] if attempt < 2 else "1" + draws.of("01") + new[2:]
+        if len(entity) == 10:  # the same without the country's number
+            return new[:3] + "555" + new[6:] if attempt < 2 else draws.of("01") + new[1:]
         return entity[0] + new[1:] if len(entity) > 10 else new
     if kind == "ssn":
         return "9" + draws.like(entity[1:])
@@ -320,12 +327,14 @@ def distinct_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
 
     Of entities with one surrogate the one drawn first keeps it, then the smallest;
     a surrogate that is an entity itself is drawn anew.  A name's role counts as its
-    kind, whatever its gender, so that no two persons come to share a name.
+    kind, whatever its gender, so that no two persons come to share a name.  Only
+    clashing entities are drawn again.  If some still clash after ``MAX_ROUNDS``, a
+    form's fixed space is as good as full, and an error names it.
     """
     role = F.substring_index("kind", "-", 1)
-    named = materialize(draw(entities.withColumn("attempt", F.lit(0).cast("long")), key), "pii-named")
+    named: DataFrame = materialize(draw(entities.withColumn("attempt", F.lit(0).cast("long")), key), "pii-named")
     real = materialize(entities.select(role.alias("r"), F.col("entity").alias("e")).distinct(), "pii-real")
-    while True:
+    for _ in range(MAX_ROUNDS):
         keyed = named.withColumn("role", role)
         first = (keyed.groupBy("role", "surrogate")
                  .agg(F.min(F.struct("attempt", "kind", "entity")).alias("first"), F.count("*").alias("n"))
@@ -333,13 +342,14 @@ def distinct_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
         doubled = (keyed.join(first, (F.col("role") == F.col("r")) & (F.col("surrogate") == F.col("s")))
                    .where(~((F.col("first.kind") == F.col("kind")) & (F.col("first.entity") == F.col("entity")))))
         taken = keyed.join(real, (F.col("role") == F.col("r")) & (F.col("surrogate") == F.col("e")), "left_semi")
-        clashes = materialize(doubled.select("kind", "entity").union(taken.select("kind", "entity")).distinct()
-                              .withColumn("more", F.lit(1).cast("long")), "pii-clashes")
+        clashes = materialize(doubled.select("kind", "entity").union(taken.select("kind", "entity")).distinct(), "pii-clashes")
         if clashes.isEmpty():
             return named
-        again = (named.drop("surrogate").join(clashes, ["kind", "entity"], "left")
-                 .withColumn("attempt", F.col("attempt") + F.coalesce("more", F.lit(0))))
-        named = materialize(draw(again, key), "pii-named")
+        again = named.join(clashes, ["kind", "entity"], "left_semi").withColumn("attempt", F.col("attempt") + 1)
+        rest = named.join(clashes, ["kind", "entity"], "left_anti").select("kind", "entity", "attempt", "surrogate")
+        named = materialize(rest.union(draw(again, key)), "pii-named")
+    crowded = [r["kind"] for r in clashes.select("kind").distinct().collect()]  # a few kinds
+    raise ValueError(f"{', '.join(sorted(crowded))}: more distinct entities of a form than its surrogates can tell apart")
 
 
 def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
