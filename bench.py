@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from demandlens.operators import demand, metrics, quality, share  # noqa: E402
 from demandlens.operators.explode import explode_list  # noqa: E402
-from demandlens.plans import analytics, eda, io, mlprep  # noqa: E402
+from demandlens.plans import analytics, eda, io, ml, mlprep  # noqa: E402
 from demandlens.session import build_session, scratch_dir  # noqa: E402
 from demandlens.sources import fixtures as fx  # noqa: E402
 from demandlens.sources.files import write_table  # noqa: E402
@@ -43,7 +43,7 @@ def headline(spark, sf_dir: str, scratch: str) -> dict:
         # The batch job's cleaned table: one normalisation pass for all tables.
         state["clean"] = spark.read.parquet(eda.write_clean(state["enriched"], scratch, "clean"))
         state["report"] = state["clean"]
-        state["skills"] = explode_list(state["clean"])
+        state["skills"] = explode_list(state["clean"], mark=demand.FIRST_MENTION)
 
     def q(build):
         return lambda: run(build())
@@ -73,6 +73,10 @@ def headline(spark, sf_dir: str, scratch: str) -> dict:
         "land_delimited": q(lambda: io.q_land_delimited(spark, sf_dir)),
         "scan_delimited": q(lambda: io.q_scan_delimited(spark, sf_dir)),
         "roundtrip_parquet": q(lambda: io.q_roundtrip_parquet(spark, sf_dir)),
+        "scan_csv_split": q(lambda: io.q_scan_csv_split(spark, sf_dir)),
+        "catalog_enrich": q(lambda: io.q_catalog_enrich(spark, sf_dir)),
+        "train_nb": q(lambda: ml.q_train_nb(spark, sf_dir)),
+        "train_svm": q(lambda: ml.q_train_svm(spark, sf_dir)),
     }
 
 
