@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def number_rows(docs: DataFrame, name: str = "__number") -> DataFrame:
+    """``docs`` with a number of each row that is the same however often it is read.
+
+    Rows read from Parquet have one already, their file and place in it; other rows are
+    numbered and written first.
+    """
+    try:
+        place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+        return docs.select("*", place.alias(name))
+    except AnalysisException:
+        row = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row"))
+        return materialize(docs.withColumn(name, row), "numbered")
+
+
+def without(docs: DataFrame, gone: DataFrame, name: str, most: int) -> DataFrame:
+    """``docs`` without the rows whose number is in ``gone``, which is broadcast up to ``most`` counted rows."""
+    gone = materialize(gone.select(name), "gone")
+    return docs.join(F.broadcast(gone) if gone.count() <= most else gone, name, "left_anti")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` applied to ``value``, which is evaluated once for each row."""
     return F.transform(F.array(value), body)[0]

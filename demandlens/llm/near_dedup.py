@@ -13,16 +13,14 @@ two bitmaps' XOR estimates how many samples are in one set only, most precisely
 at high similarity.  Candidates that differ by ``DEVIATIONS`` standard deviations
 more than the similarity allows are dropped; all others are confirmed on full sets.
 
-In a bucket pairs aren't all formed.  First every class is compared with the
-bucket's first.  Then, as long as a bucket holds classes of different components,
-some of those outside its largest component are compared with all members of other
-components: one, then ``GROWTH`` times as many in each round, as ever fewer stay
-outside.  Pairs left out are inside one component already, so the components are
-those of all links.  A bucket of more than ``LARGE`` classes most of which stay
-outside after the first round is a passage that many documents share.  It is dealt
-again by bands of fresh samples: a pair of similarity 0.8 meets again as surely as
-before, while the others part.  Links are joined to components by alternating
-large-star and small-star steps over written tables.
+In a bucket pairs aren't all formed.  First every class is compared with the bucket's first.
+Then only buckets go on whose other classes are still in different components, cut into
+blocks of bounded size; a task compares the sketches of two blocks and gives each class its
+first ``FIRST`` partners of other components that the sketches leave open, in the next round
+``GROWTH`` times as many.  When no class has a partner left, pairs not compared in full are
+inside one component already or excluded by their sketches, so the components are those of
+all links.  Links are joined to components by alternating large-star and small-star steps
+over written tables.
 
 Sets, links and components never leave the executors.  An empty or null text, or
 one of white space, has an empty set and is linked with nothing.  Of each component
@@ -39,10 +37,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
+from demandlens.llm import blocks
+from demandlens.llm.blocks import Test, deal, list_rows, open_members
 from demandlens.llm.common import materialize, text_or_empty
 
 #: Words of a shingle.
@@ -52,7 +52,8 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS, SKETCH_WORDS = 1024, 16
 SKETCH_SAMPLES = 512
 DEVIATIONS = 5
-LARGE, GROWTH = 64, 4
+#: Classes of a block, partners that a class is given at first, and by how much more in each round.
+BLOCK, FIRST, GROWTH = 512, 2, 8
 SEED = 20_240_229
 #: Rows of ids (up to 60 bytes each) up to which such a table is broadcast; else it is a shuffle join.
 MAX_BROADCAST_ROWS = 500_000
@@ -111,9 +112,9 @@ def odd_sketch(hashes: np.ndarray) -> np.ndarray:
     return np.concatenate([*words, np.array([level, *counts], np.int64)])
 
 
-def sketch_seeds(level: int = 0) -> np.ndarray:
-    """Seeds of the samples; level 1 has fresh ones for large buckets."""
-    return np.random.default_rng(SEED + level).integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
+def sketch_seeds() -> np.ndarray:
+    """Seeds of the samples."""
+    return np.random.default_rng(SEED).integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, carry: list[str], width: int = WIDTH) -> DataFrame:
@@ -149,29 +150,32 @@ def bounded(table: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
-    """node, hashes and fresh bands of each class in ``wanted`` (node, id, key), from its document's text.
+    """node and hashes of each class in ``wanted`` (node, id, key, rows), from its document's text.
 
-    Repeated rows of one id may repeat a class.
+    Only a class of several rows can come out more than once; just those are shuffled.
     """
     texts = (docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__text"))
-             .join(bounded(wanted.select("node", "id", "key")), F.col("__id").eqNullSafe(F.col("id")))
-             .select("node", "key", "__text"))
+             .join(bounded(wanted.select("node", "id", "key", "rows")), F.col("__id").eqNullSafe(F.col("id")))
+             .select("node", "key", "rows", "__text"))
 
     def expand(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = sketch_seeds(1)
         for batch in batches:
-            nodes, hashes, fresh = [], [], []
-            for node, key, text in zip(*(batch.column(c) for c in ("node", "key", "__text")), strict=True):
+            nodes, rows, hashes = [], [], []
+            for node, key, n, text in zip(*(batch.column(c) for c in ("node", "key", "rows", "__text")), strict=True):
                 s = shingles(text.as_py(), width)
                 if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == key.as_py():
                     nodes.append(node.as_py())
+                    rows.append(n.as_py())
                     hashes.append(s.view(np.int64))
-                    fresh.append(bands_of(minhash(s, seeds)).view(np.int64))
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(hashes, longs),
-                                              pa.array(fresh, longs)], names=["node", "hashes", "fresh"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(rows, pa.int64()),
+                                              pa.array(hashes, pa.list_(pa.int64()))], names=["node", "rows", "hashes"])
 
-    return texts.mapInArrow(expand, "node long, hashes array<long>, fresh array<long>")
+    found = materialize(texts.mapInArrow(expand, "node long, rows long, hashes array<long>"), "near-sets")
+    # by a narrow number first, as whole sets of a row that repeats a lot should not travel
+    several = found.where("rows > 1").withColumn("place", F.monotonically_increasing_id())
+    first = several.groupBy("node").agg(F.min("place").alias("first"))
+    several = several.join(bounded(first.select(F.col("first").alias("place"))), "place", "left_semi")
+    return found.where("rows = 1").select("node", "hashes").union(several.select("node", "hashes"))
 
 
 def most_flips(total: Column, level: Column, percent: int) -> Column:
@@ -208,14 +212,15 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach ``percent`` of their union."""
+    """The pairs whose full sets reach ``percent`` of their union.
+
+    Sets of the second ends travel to the first ends, of which a star of pairs has one.
+    """
     pairs = materialize(pairs, "near-pairs")
-    ends = bounded(pairs.select(F.col("b").alias("end")).distinct())
-    first = sets.select("node", F.col("hashes").alias("ha")).join(bounded(pairs), F.col("node") == F.col("a"))
-    second = sets.select(F.col("node").alias("nb"), F.col("hashes").alias("hb")).join(
-        ends, F.col("nb") == F.col("end"), "left_semi")
-    both = first.join(second, F.col("b") == F.col("nb"))
-    both = both.withColumn("same", F.size(F.array_intersect("ha", "hb")))
+    ends = bounded(pairs.select(F.col("a").alias("end")).distinct())
+    left = sets.select(F.col("node").alias("na"), F.col("hashes").alias("ha")).join(ends, F.col("na") == F.col("end"), "left_semi")
+    right = sets.select("node", F.col("hashes").alias("hb")).join(bounded(pairs), F.col("node") == F.col("b"))
+    both = right.join(left, F.col("a") == F.col("na")).withColumn("same", F.size(F.array_intersect("ha", "hb")))
     union = F.size("ha") + F.size("hb") - F.col("same")
     return both.where(100 * F.col("same") >= percent * union).select("a", "b")
 
@@ -253,70 +258,42 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def shared_buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node) of all buckets with two classes or more."""
-    each = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = each.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    return each.join(materialize(shared, "near-shared"), "bucket").select("bucket", "node")
-
-
-def parted(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """``members`` with the large buckets dealt again by fresh bands, unless half of one is a component."""
-    named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = named.groupBy("bucket", "component").agg(F.count("*").alias("c"))
-    large = (sizes.groupBy("bucket").agg(F.sum("c").alias("n"), F.max("c").alias("most"))
-             .where((F.col("n") > LARGE) & (2 * F.col("most") < F.col("n"))).select("bucket"))
-    large = materialize(large, "near-large")
-    if large.isEmpty():
-        return members
-    again = (members.join(large, "bucket").join(sets.select("node", "fresh"), "node")
-             .select("node", "bucket", F.explode("fresh").alias("band"))
-             .select(F.xxhash64("bucket", "band").alias("bucket"), "node").distinct())
-    again = materialize(again, "near-again")
-    shared = again.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    again = again.join(materialize(shared, "near-shared"), "bucket").select("bucket", "node")
-    return members.join(large, "bucket", "left_anti").union(again)
-
-
-def mixed_buckets(members: DataFrame) -> DataFrame:
-    """(bucket, main): buckets with classes of several components, and their largest component."""
-    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("k"))
-    return largest.where("k > 1").select("bucket", F.col("m.component").alias("main"))
-
-
-def open_centers(members: DataFrame, compared: DataFrame, most: int) -> DataFrame:
-    """(bucket, center, of): up to ``most`` classes a bucket outside its largest component, not yet compared."""
-    outside = members.where("component != main").join(compared, ["bucket", "node"], "left_anti")
-    order = Window.partitionBy("bucket").orderBy(F.xxhash64("node", "bucket"), "node")
-    return (outside.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
-            .select("bucket", F.col("node").alias("center"), F.col("component").alias("of")))
-
-
-def by_level(rows: DataFrame) -> DataFrame:
-    """A row for each of a sketch's two levels, its words in columns ``w0``, ``w1``, ..."""
-    sketch = F.col("sketch")
-    levels = [F.struct((sketch[2 * SKETCH_WORDS] + up).alias("level"), F.lit(up == 0).alias("own"),
-                       sketch[2 * SKETCH_WORDS + 1 + up].alias("m"),
-                       *[sketch[up * SKETCH_WORDS + i].alias(f"w{i}") for i in range(SKETCH_WORDS)]) for up in (0, 1)]
-    return rows.select("*", F.inline(F.array(*levels))).drop("sketch")
-
-
-def crossing(members: DataFrame, centers: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of a center and a member of another component whose sketches allow the similarity.
-
-    The sketches travel with the rows as plain columns, so that comparing them is
-    a few instructions inside the join and only likely pairs come out of it.
-    """
-    side = classes.select("node", "sketch")
-    ours = by_level(centers.join(side.withColumnRenamed("node", "center"), "center"))
-    ours = ours.select(*[F.col(c).alias(f"c_{c}") for c in ours.columns])
-    theirs = by_level(members.join(centers.select("bucket").distinct(), "bucket").join(side, "node"))
-    words = [F.bit_count(F.col(f"w{i}").bitwiseXOR(F.col(f"c_w{i}"))) for i in range(SKETCH_WORDS)]
-    alike = sum(words[1:], words[0]) <= most_flips((F.col("m") + F.col("c_m")).cast("double"), F.col("level"), percent)
-    # sets of one size meet at their own level only
-    pairs = theirs.join(ours, (F.col("bucket") == F.col("c_bucket")) & (F.col("level") == F.col("c_level"))
-                        & (F.col("own") | F.col("c_own")) & (F.col("component") != F.col("c_of")) & alike)
-    return pairs.select(F.least("c_center", "node").alias("a"), F.greatest("c_center", "node").alias("b")).distinct()
+    """(h, node) of all buckets h with two classes or more."""
+    # dealt by bucket once: the counts, the firsts and the joins read the same exchange
+    each = nodes.select("node", F.explode("bands").alias("h")).repartition("h")
+    shared = each.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    return each.join(shared, "h").select("h", "node")
+
+
+def block_rows(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of the open buckets with their sketches, dealt to pairs of blocks."""
+    rows = open_members(members, labels).join(classes.select("node", "sketch"), "node")
+    return deal(rows, F.ceil(F.col("c") / BLOCK))
+
+
+def partners(rows: DataFrame, percent: int, most: int) -> DataFrame:
+    """(a, b, more): partners that the odd sketches leave open (``blocks.partners``)."""
+    apart = (100 - percent) / (100 + percent)
+
+    def prepare(table: pa.Table) -> Test:
+        _, values = list_rows(table, "sketch")
+        sketches = values.reshape(-1, 2 * SKETCH_WORDS + 3)
+        words = sketches[:, :2 * SKETCH_WORDS].reshape(-1, 2, SKETCH_WORDS)
+        level, counts = sketches[:, -3].astype(np.int64), sketches[:, -2:].astype(np.float64)
+
+        def test(x: int, others: np.ndarray) -> np.ndarray:
+            near = np.abs(level[others] - level[x]) <= 1
+            common = np.maximum(level[others], level[x])
+            up, own = np.where(near, common - level[others], 0), np.where(near, common - level[x], 0)
+            flips = np.bitwise_count(words[others, up] ^ words[x][own]).sum(axis=1)
+            total = counts[others, up] + counts[x][own]
+            differ = apart * total + np.where(common > 0, DEVIATIONS * 0.5 * np.sqrt(total * apart), 0.0)
+            expected = SKETCH_BITS / 2 * (1 - np.exp(-2.0 * differ / SKETCH_BITS))
+            return near & (flips <= expected + DEVIATIONS * differ / math.sqrt(SKETCH_BITS / 2) + 1)
+
+        return test
+
+    return blocks.partners(rows, prepare, most)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
@@ -329,32 +306,35 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
                        .withColumn("__row", F.monotonically_increasing_id()), "near-rows")
     nodes = materialize(
         rows.where("n > 0").groupBy("key")
-        .agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "bands", "sketch")])
+        .agg(F.min("doc_id").alias("id"), F.count("*").alias("rows"), *[F.first(c).alias(c) for c in ("bands", "sketch")])
         .withColumn("node", F.monotonically_increasing_id()), "near-nodes")
-    members = materialize(shared_buckets(nodes), "near-buckets")
-    classes = materialize(nodes.join(members.select("node").distinct(), "node")
-                          .select("node", "id", "key", "n", "sketch"), "near-candidates")
-    sets = materialize(full_sets(docs, classes, id_col, text_col, width), "near-sets")
-    first = materialize(members.groupBy("bucket").agg(F.min("node").alias("center")), "near-firsts")
-    compared = first.select("bucket", F.col("center").alias("node"))
-    pairs = members.join(first, "bucket").where("node != center").select(
-        F.col("center").alias("a"), F.col("node").alias("b"))
-    links = confirmed(likely(pairs, classes, percent), sets, percent)
-    labels = materialize(components(links), "near-labels")
-    members = materialize(parted(members, labels, sets), "near-parted")
-    most = 1
+    members = shared_buckets(nodes)
+    first = members.groupBy("h").agg(F.min("node").alias("center"))
+    members = materialize(members.join(first, "h"), "near-members")
+    met = materialize(members.select("node").distinct(), "near-met")
+    classes = materialize(nodes.drop("bands").join(bounded(met), "node", "left_semi"), "near-classes")
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        """The confirmed pairs, by the sets of just the classes in them."""
+        ends = materialize(pairs.select(F.col("a").alias("node")).distinct().union(
+            pairs.select(F.col("b").alias("node")).distinct()).distinct(), "near-ends")
+        wanted = materialize(classes.select("node", "id", "key", "rows").join(bounded(ends), "node", "left_semi"), "near-wanted")
+        return confirmed(pairs, full_sets(docs, wanted, id_col, text_col, width), percent)
+
+    pairs = members.where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b"))
+    tested = materialize(likely(pairs, classes, percent), "near-pairs")
+    labels = materialize(components(links_of(tested)), "near-labels")
+    most = FIRST
     while True:
-        named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        named = materialize(named, "near-members")
-        active = materialize(named.join(materialize(mixed_buckets(named), "near-mixed"), "bucket"), "near-active")
-        centers = materialize(open_centers(active, compared, most), "near-centers")
-        if centers.isEmpty():
+        found = materialize(partners(block_rows(members, labels, classes), percent, most), "near-partners")
+        new = materialize(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        if not new.isEmpty():
+            stars = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+            labels = materialize(components(stars.union(links_of(new))), "near-labels")
+            tested = tested.union(new)
+        elif found.where("more").isEmpty():
             break
         most *= GROWTH
-        compared = compared.union(centers.select("bucket", F.col("center").alias("node")))
-        found = confirmed(crossing(active, centers, classes, percent), sets, percent)
-        stars = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
-        labels = materialize(components(stars.union(found)), "near-labels")
     named = (nodes.select("key", "node").join(labels, "node", "left")
              .select(F.col("key").alias("__key"), F.coalesce("component", "node").alias("component")))
     placed = rows.drop("bands", "sketch").join(materialize(named, "near-classes"),
