@@ -14,7 +14,8 @@ difference, so
 So (band, place, word) is the join key, and no pair of the similarity is missed.  A set has
 the words of its own band, and those of the next one if a set of that band is within reach.
 
-In a bucket pairs aren't all formed.  First every class is compared with the bucket's first.
+In a bucket pairs aren't all formed.  First every class is compared with the bucket's first,
+by sizes and a short sketch of ``SHORT_WORDS`` words, whose bound holds likewise.
 Then only buckets go on whose other classes are still in different components, cut into
 blocks of bounded size; a task compares the sketches of two blocks and gives each class its
 first ``FIRST`` partners of other components that the lower bound allows, in the next round
@@ -34,18 +35,20 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
 
+from demandlens.llm import blocks
+from demandlens.llm.blocks import TASK_ROWS, Test, deal, list_rows, open_members
 from demandlens.llm.common import materialize, text_or_empty
-from demandlens.llm.near_dedup import bounded, components, confirmed, mixed, shingles
+from demandlens.llm.near_dedup import bounded, components, confirmed, full_sets, mixed, shingles
 
 PERCENT, WIDTH = 90, 3
+#: Words of the sketch that all sets have alike, for a first look at a pair.
+SHORT_WORDS = 16
 #: Words of sketches in a block; a block has as many classes as they allow.
 BLOCK_WORDS = 1 << 14
-#: Rows that a task compares at a time, about.
-TASK_ROWS = 4096
 #: Partners that a class is given at first, and by how much more in each round.
 FIRST, GROWTH = 2, 8
 SALT = 0x51ED270B4D2A9F63
@@ -105,13 +108,14 @@ def signatures(docs: DataFrame, percent: int, width: int, id_col: str, text_col:
     """doc_id with n, a digest of the set, its band and its sketches."""
     docs = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("__text"))
     schema, longs = StructType([docs.schema["doc_id"]]), ArrayType(LongType())
-    for name, kind in (("n", LongType()), ("key", BinaryType()), ("band", IntegerType()), ("own", longs), ("up", longs)):
+    for name, kind in (("n", LongType()), ("key", BinaryType()), ("band", IntegerType()), ("own", longs), ("up", longs),
+                       ("short", longs)):
         schema = schema.add(name, kind)
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in batches:
-            n, keys, places, own, up = [], [], [], [], []
+            n, keys, places, own, up, short = [], [], [], [], [], []
             for text in batch.column("__text"):
                 s = shingles(text.as_py(), width)
                 band, first, second = bands.sketches(s) if len(s) else (None, None, None)
@@ -120,34 +124,15 @@ def signatures(docs: DataFrame, percent: int, width: int, id_col: str, text_col:
                 places.append(band)
                 own.append(first)
                 up.append(second)
+                short.append(sketch(s, SHORT_WORDS) if len(s) else None)
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(places, pa.int32()),
-                 pa.array(own, lists), pa.array(up, lists)], names=schema.names)
+                 pa.array(own, lists), pa.array(up, lists), pa.array(short, lists)], names=schema.names)
 
     return docs.mapInArrow(sign, schema)
 
 
-def set_table(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """node and hashes of each class in ``wanted`` (node, id, key), from its document's text."""
-    texts = (docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__text"))
-             .join(bounded(wanted.select("node", "id", "key")), F.col("__id").eqNullSafe(F.col("id")))
-             .select("node", "key", "__text"))
-
-    def expand(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, hashes = [], []
-            for node, key, text in zip(*(batch.column(c) for c in ("node", "key", "__text")), strict=True):
-                s = shingles(text.as_py(), width)
-                if digest(s) == key.as_py():  # rows of one id may have different texts
-                    nodes.append(node.as_py())
-                    hashes.append(s.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))],
-                                             names=["node", "hashes"])
-
-    return texts.mapInArrow(expand, "node long, hashes array<long>").dropDuplicates(["node"])
-
-
 def word_keys(words: str, band: Column) -> Column:
     """Join keys of a sketch: a hash of band, place and word."""
     return F.transform(words, lambda w, i: F.xxhash64(band, i, w))
@@ -158,11 +143,12 @@ def bucket_members(nodes: DataFrame) -> DataFrame:
     own = nodes.select("node", F.lit(True).alias("own"), F.explode(word_keys("own", F.col("band"))).alias("h"))
     up = nodes.where("up IS NOT NULL").select(
         "node", F.lit(False).alias("own"), F.explode(word_keys("up", F.col("band") + 1)).alias("h"))
-    each = own.union(up)
+    # dealt by key once: the counts and the join below read the same exchange
+    each = own.union(up).repartition("h")
     first = F.min(F.struct((~F.col("own")).alias("other"), "node"))
     shared = (each.groupBy("h").agg(F.count("*").alias("c"), first.alias("first")).where("c > 1 AND NOT first.other")
               .select("h", F.col("first.node").alias("center")))
-    return each.join(materialize(shared, "parity-shared"), "h").select("h", "node", "own", "center")
+    return each.join(shared, "h").select("h", "node", "own", "center")
 
 
 def allowed(total: Column, percent: int) -> Column:
@@ -170,77 +156,41 @@ def allowed(total: Column, percent: int) -> Column:
 
 
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and sketches allow the similarity."""
+    """The pairs (a, b) whose sizes and short sketches allow the similarity.
+
+    Most pairs of a bucket that met by chance end here, so only short sketches travel.
+    """
     def side(end: str) -> DataFrame:
-        return classes.select(F.col("node").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in ("n", "band", "own", "up")])
+        return classes.select(F.col("node").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in ("n", "short")])
 
+    a_n, b_n = F.col("a_n"), F.col("b_n")
     out = pairs.join(side("a"), "a").join(side("b"), "b")
-    out = out.where((F.col("a_n") * 100 >= F.col("b_n") * percent) & (F.col("b_n") * 100 >= F.col("a_n") * percent))
-    words = [F.when(F.col(f"{x}_band") >= F.col(f"{y}_band"), F.col(f"{x}_own")).otherwise(F.col(f"{x}_up"))
-             for x, y in ("ab", "ba")]
-    apart = F.aggregate(F.zip_with(*words, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v)
-    return out.where(apart <= allowed(F.col("a_n") + F.col("b_n"), percent)).select("a", "b")
+    out = out.where((a_n * 100 >= b_n * percent) & (b_n * 100 >= a_n * percent))
+    flips = [F.bit_count(F.col("a_short")[i].bitwiseXOR(F.col("b_short")[i])) for i in range(SHORT_WORDS)]
+    return out.where(sum(flips[1:], flips[0]) <= allowed(a_n + b_n, percent)).select("a", "b")
 
 
 def block_rows(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows of the buckets whose classes beside the first are in different components, dealt to pairs of blocks."""
-    named = (members.where("node != center").drop("center").join(labels, "node", "left")
-             .withColumn("component", F.coalesce("component", "node")))
-    named = materialize(named, "parity-named")
-    open_ = (named.groupBy("h").agg(F.min("component").alias("l"), F.max("component").alias("m"), F.count("*").alias("c"))
-             .where("l != m").select("h", "c"))
-    rows = named.join(materialize(open_, "parity-open"), "h").join(classes.select("node", "n", F.col("own").alias("w"), "up"), "node")
+    """Rows of the open buckets with the words of the bucket's band, dealt to pairs of blocks."""
+    rows = open_members(members, labels).join(classes.select("node", "n", F.col("own").alias("w"), "up"), "node")
     rows = rows.withColumn("words", F.when(F.col("own"), F.col("w")).otherwise(F.col("up"))).drop("w", "up")
-    blocks = F.ceil(F.col("c") * F.greatest(F.size("words"), F.lit(16)) / BLOCK_WORDS).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    return rows.select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
-                       "node", "component", "own", "n", "words")
+    return deal(rows, F.ceil(F.col("c") * F.greatest(F.size("words"), F.lit(16)) / BLOCK_WORDS))
 
 
 def partners(rows: DataFrame, percent: int, most: int) -> DataFrame:
-    """(a, b, more): up to ``most`` partners of each class in each pair of blocks; more: whether it had others."""
-    tasks = -(-max(1, rows.count()) // TASK_ROWS)
-
-    def compare(table: pa.Table) -> pa.Table:
-        h, i, j = (table.column(c).to_numpy() for c in ("h", "i", "j"))
-        order = np.lexsort((j, i, h))
-        cut = np.flatnonzero((np.diff(h[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
-        block, node, component, own, n = (table.column(c).to_numpy() for c in ("block", "node", "component", "own", "n"))
-        lists = table.column("words").combine_chunks()
-        # unsigned: numpy counts the bits of a signed number's magnitude
-        starts, members = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
-        out: tuple[list, ...] = ([], [], [])
-        for group in np.split(order, cut):
-            left = group[block[group] == i[group[0]]]
-            right = group[block[group] == j[group[0]]]
-            if not len(left) or not len(right):
-                continue
-            words = members[starts[right][:, None] + np.arange(starts[right[0] + 1] - starts[right[0]])]
-            for at, x in enumerate(left.tolist()):
-                mine = members[starts[x]:starts[x + 1]]
-                found = (component[right] != component[x]) & (own[right] | own[x])
-                if i[x] == j[x]:
-                    found[:at + 1] = False
-                found = np.flatnonzero(found)
-                if not len(found):
-                    continue
-                apart = np.bitwise_count(words[found] ^ mine).sum(axis=1)
-                found = found[apart <= (n[right[found]] + n[x]) * (100 - percent) // (100 + percent)]
-                if len(found):
-                    out[0].append(np.full(min(most, len(found)), node[x]))
-                    out[1].append(node[right[found[:most]]])
-                    out[2].append(np.full(min(most, len(found)), len(found) > most))
-        a, b, more = (np.concatenate(o) if o else np.empty(0, kind) for o, kind in zip(out, (np.int64, np.int64, bool), strict=True))
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64()),
-                         "more": pa.array(more, pa.bool_())})
-
-    dealt = rows.withColumn("task", F.pmod(F.xxhash64("h", "i", "j"), F.lit(tasks)))
-    return dealt.groupBy("task").applyInArrow(compare, "a long, b long, more boolean")
-
-
-def no_pairs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "a long, b long")
+    """(a, b, more): partners that sizes and sketches allow (``blocks.partners``)."""
+    def prepare(table: pa.Table) -> Test:
+        own, n = table.column("own").to_numpy(), table.column("n").to_numpy()
+        starts, words = list_rows(table, "words")
+
+        def test(x: int, others: np.ndarray) -> np.ndarray:
+            mine = words[starts[x]:starts[x + 1]]  # all of one bucket are of one band
+            apart = np.bitwise_count(words[starts[others][:, None] + np.arange(len(mine))] ^ mine).sum(axis=1)
+            return (own[others] | own[x]) & (apart <= (n[others] + n[x]) * (100 - percent) // (100 + percent))
+
+        return test
+
+    return blocks.partners(rows, prepare, most, TASK_ROWS)
 
 
 def similarity_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, id_col: str = "doc_id",
@@ -252,22 +202,31 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT, width: int =
                        .withColumn("__row", F.monotonically_increasing_id()), "parity-rows")
     nodes = materialize(
         rows.where("n > 0").groupBy("key")
-        .agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "band", "own", "up")])
+        .agg(F.min("doc_id").alias("id"), F.count("*").alias("rows"),
+             *[F.first(c).alias(c) for c in ("n", "band", "own", "up", "short")])
         .withColumn("node", F.monotonically_increasing_id()), "parity-nodes")
     members = materialize(bucket_members(nodes), "parity-members")
-    classes = materialize(nodes.join(members.select("node").distinct(), "node"), "parity-classes")
-    sets = materialize(set_table(docs, classes, width, id_col, text_col), "parity-sets")
+    met = materialize(members.select("node").distinct(), "parity-met")
+    classes = materialize(nodes.join(bounded(met), "node", "left_semi"), "parity-classes")
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        """The confirmed pairs, by the sets of just the classes in them."""
+        ends = materialize(pairs.select(F.col("a").alias("node")).distinct().union(
+            pairs.select(F.col("b").alias("node")).distinct()).distinct(), "parity-ends")
+        wanted = materialize(classes.select("node", "id", "key", "rows").join(bounded(ends), "node", "left_semi"), "parity-wanted")
+        return confirmed(pairs, full_sets(docs, wanted, id_col, text_col, width), percent)
+
     # every class with the first of its buckets
-    pairs = members.where("node != center").select(
-        F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")).distinct()
+    pairs = materialize(members.where("node != center").select(
+        F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")).distinct(), "parity-firsts")
     tested = materialize(likely(pairs, classes, percent), "parity-pairs")
-    labels = materialize(components(confirmed(tested, sets, percent)), "parity-labels")
+    labels = materialize(components(links_of(tested)), "parity-labels")
     most = FIRST
     while True:
         found = materialize(partners(block_rows(members, labels, classes), percent, most), "parity-partners")
         new = materialize(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "parity-pairs")
         if not new.isEmpty():
-            links = confirmed(new, sets, percent)
+            links = links_of(new)
             stars = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
             labels = materialize(components(stars.union(links)), "parity-labels")
             tested = tested.union(new)
