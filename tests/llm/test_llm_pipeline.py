@@ -2,13 +2,13 @@
 
 import frames
 import pytest
-from test_llm_dedup import brute_components, shingle_set
+import test_llm_dedup
 from test_llm_sharding_packing import check_packing
 
 import corpus_pipeline
 from conftest import SF_SMALL
 from demandlens.llm import quality_rules
-from demandlens.llm.common import materialize
+from demandlens.llm.common import materialize, number_rows
 
 
 def texts(df):
@@ -44,10 +44,34 @@ def test_exact_stage_leaves_one_of_each_text(stages):
     assert len(left) == len(set(left)) and set(left) == {normal(t) for _, t in texts(stages[1])}
 
 
-def test_near_stage_leaves_one_of_each_group(stages):
-    groups = brute_components(texts(stages[2]))
+def five_word_set(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def test_near_stage_leaves_one_of_each_group(stages, monkeypatch):
+    monkeypatch.setattr(test_llm_dedup, "shingle_set", five_word_set)
+    groups = test_llm_dedup.brute_components(texts(stages[2]))
     assert sorted(i for i, _ in texts(stages[3])) == sorted({c for _, _, c in groups})
-    assert shingle_set("a b") == {(b"a", b"b")}
+    assert len(texts(stages[3])) < len(texts(stages[2])) and corpus_pipeline.NEAR_WIDTH == 5
+
+
+def test_pack_stage_keeps_all_capacities(stages):
+    packed = stages[5].toPandas()
+    packed["cost"] = packed["length"] ** 2
+    groups = packed.groupby("sequence_id").agg(n=("length", "size"), cost=("cost", "sum"))
+    several = groups[groups.n > 1]
+    assert (several.n <= corpus_pipeline.PACK_DOCUMENTS).all() and (several.cost <= corpus_pipeline.PACK_ATTENTION).all()
+    assert len(several) > 0
+
+
+def test_row_numbers_stay_the_same(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text", "doc_id")
+    a, b = (sorted(tuple(r) for r in number_rows(d).select("doc_id", "__number.*").collect()) for d in (docs, docs.repartition(3)))
+    assert a == b and len({x[1:] for x in a}) == len(a)
+    assert number_rows(docs).inputFiles() == docs.inputFiles()  # read in place, not written again
+    other = number_rows(frames.documents(spark))
+    assert other.select("__number").distinct().count() == other.count()
 
 
 def test_mix_stage_stays_within_its_share(stages):
