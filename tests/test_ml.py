@@ -205,3 +205,21 @@ def test_one_model_is_scored_without_training_the_others(spark):
     row = alone.metrics_of("nb", alone=True).first()
     assert set(alone._tuned) == {"nb"} and row.model == "nb" and 0 <= row.auc_roc <= 1
     alone.close()
+
+
+def test_searches_of_all_classifiers_run_side_by_side(spark, monkeypatch):
+    """No search waits for another: each reaches its first fits while the others are under way."""
+    import threading
+
+    together, one = threading.Barrier(len(mdl.MODEL_NAMES)), mdl.tune
+
+    def tune(*args, **kwargs):
+        together.wait(60)
+        return one(*args, **kwargs)
+
+    run = mlplan.Run(small_set(spark), scratch_dir(spark, "t-run"), POINT)
+    alone = {name: mdl.tune(name, None, grid=POINT[name], prepared=run.prepared()) for name in mdl.MODEL_NAMES}
+    monkeypatch.setattr(mdl, "tune", tune)
+    for got in run.all_tuned():
+        assert got.points == alone[got.name].points and got.scores == alone[got.name].scores
+    run.close()
