@@ -15,8 +15,8 @@ from demandlens.operators import demand, quality, share
 from demandlens.operators.enrich import enrich
 from demandlens.operators.explode import explode_list
 from demandlens.operators.typing import type_postings
-from demandlens.plans.analytics import clean, enriched, exploded, report_clean
-from demandlens.session import scratch_dir
+from demandlens.plans.analytics import clean, enriched, report_clean
+from demandlens.session import scratch_dir, write_once
 from demandlens.sources import catalog, files
 from demandlens.sources import fixtures as fx
 
@@ -125,10 +125,21 @@ def q_report_roundtrip(spark, sf):
 _MATRIX_SCHEMA = "search_country string, skill string, skill_mentions bigint, posting_count bigint"
 
 
+def skill_mentions(clean_postings):
+    """Exploded lists by country for the skill tables.
+
+    The postings' columns that these read are written once.  If no posting key
+    repeats there, first mentions are marked, so that a task sums them instead of
+    holding every (posting, skill) that it meets; else distinct keys are counted.
+    """
+    stored = write_once(clean_postings.select("job_link", "search_country", "job_skills"), "skill-lists")
+    return explode_list(stored, mark=demand.FIRST_MENTION if demand.has_unique_keys(stored) else None)
+
+
 def q_preview_topn(spark, sf):
     """First 50 rows of the skill x country matrix in key order, as CSV."""
     path = scratch_dir(spark, "preview")
-    m = demand.top_skills_by_country(exploded(spark, sf))
+    m = demand.top_skills_by_country(skill_mentions(clean(spark, sf)))
     files.preview_topn(m, [F.col("search_country"), F.col("skill")], 50, path)
     return files.scan_csv(spark, path, _MATRIX_SCHEMA)
 
@@ -146,7 +157,7 @@ def q_export_top_positions(spark, sf):
 
 
 def q_export_top_skills(spark, sf):
-    return _export(spark, demand.top_skills_global(exploded(spark, sf)), "skill_mentions", "skill",
+    return _export(spark, demand.top_skills_global(skill_mentions(clean(spark, sf))), "skill_mentions", "skill",
                    "skill string, skill_mentions bigint, posting_count bigint, country_count bigint")
 
 

@@ -116,3 +116,19 @@ def test_wide_matrix_is_bounded_and_whole(spark):
     assert got["x"].total == sum(range(1, 30))
     assert [r.c for r in demand.matrix_columns(cells, "c", "n", 3).orderBy("place").collect()] == ["s29", "s28", "s27"]
     assert demand.wide_matrix(cells.where("false"), "r", "c", "n", 3, "c").collect() == []
+
+
+def test_previewed_skills_sum_marks_unless_posting_keys_repeat(spark):
+    from demandlens.operators.demand import FIRST_MENTION, top_skills_by_country, top_skills_global
+    from demandlens.plans.io import skill_mentions
+
+    rows = [("j1", "a", "x,y,x"), ("j2", "a", "x"), ("j3", "b", None), (None, "b", "y,y")]
+    again = [*rows, ("j2", "a", "x,z"), ("j2", "b", "x")]
+    for data, marked in ((rows, True), (again, False)):
+        df = spark.createDataFrame(data, "job_link string, search_country string, job_skills string")
+        skills = skill_mentions(df)
+        assert (FIRST_MENTION in skills.columns) == marked
+        plain = explode_list(df)
+        for table in (top_skills_by_country, top_skills_global):
+            got, want = table(skills), table(plain)
+            assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
