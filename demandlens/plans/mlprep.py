@@ -16,6 +16,7 @@ from demandlens.operators import metrics
 from demandlens.operators.groups import GROUP_KEYS, at_least, group_features, ratio_features
 from demandlens.operators.label import quantile_label
 from demandlens.operators.split import hash_draw, sample_n, split_column
+from demandlens.session import write_once
 from demandlens.sources import fixtures as fx
 
 # Fixed values of the reference's preparation step.
@@ -45,7 +46,12 @@ def groups(spark: SparkSession, sf: str) -> DataFrame:
 
 def labelled(groups_df: DataFrame, min_count: int = MIN_POSTINGS_PER_GROUP,
              q: float = HIGH_DEMAND_QUANTILE) -> DataFrame:
-    kept = ratio_features(at_least(groups_df, "group_count", min_count))
+    """The groups of enough postings with their label.
+
+    Label and thresholds both read the groups, so these are written first: one row a
+    group, instead of the postings' joins once more for the thresholds.
+    """
+    kept = write_once(ratio_features(at_least(groups_df, "group_count", min_count)), "groups")
     return quantile_label(kept, "search_position", "group_count", q).select(*DATASET_COLUMNS)
 
 

@@ -9,7 +9,9 @@ the reference's schemas are derived from the TPC-H-like tables:
 * ``skills_raw``    - one comma list of part names per order;
 * ``summary_raw``   - one long text per document.
 
-Everything is plain joins and aggregations, so the work grows with the data.
+Everything is plain joins and aggregations, so the work grows with the data.  All
+three are joined and grouped by the link itself, the key that the enrichment joins
+on, so its joins need no exchange of their own.
 """
 
 from __future__ import annotations
@@ -37,9 +39,13 @@ def _link(c) -> F.Column:
 
 
 def postings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All-string postings relation (the reference's raw landed schema)."""
+    """All-string postings relation (the reference's raw landed schema).
+
+    An order's first part finds its names on its own narrow row, so that the wide
+    orders move by customer and by link only.
+    """
     o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+        _link(F.col("o_orderkey")).alias("job_link"), "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -47,17 +53,18 @@ def postings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     first_part = (read_table(spark, sf_dir, "lineitem")
                   .groupBy("l_orderkey").agg(F.min("l_partkey").alias("pk")))
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    d = read_table(spark, sf_dir, "documents").select("doc_id")
+    named_part = (first_part.join(p, p.p_partkey == first_part.pk, "left")
+                  .select(_link(F.col("l_orderkey")).alias("job_link"), "p_name", "p_type"))
+    d = read_table(spark, sf_dir, "documents").select(_link(F.col("doc_id")).alias("job_link"), "doc_id")
 
     j = (o.join(c, o.o_custkey == c.c_custkey)
          .join(n, c.c_nationkey == n.n_nationkey)
          .join(r, n.n_regionkey == r.r_regionkey)
-         .join(first_part, first_part.l_orderkey == o.o_orderkey, "left")
-         .join(p, p.p_partkey == first_part.pk, "left")
-         .join(d, d.doc_id == o.o_orderkey, "left"))
+         .join(named_part, "job_link", "left")
+         .join(d, "job_link", "left"))
     status = F.col("o_orderstatus")
     return j.select(
-        _link(F.col("o_orderkey")).alias("job_link"),
+        "job_link",
         F.concat(F.col("o_orderdate").cast("string"), F.lit("+00")).alias("last_processed_time"),
         F.when(F.col("doc_id").isNotNull(), "true").otherwise("false").alias("got_summary"),
         F.when(status == "F", "t").otherwise("f").alias("got_ner"),
@@ -81,15 +88,17 @@ def skills_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(job_link, job_skills)``: sorted part names of an order, comma separated.
 
     The source format is one list string per posting, so the aggregate holds
-    one order's names (bounded by its line items).
+    one order's names (bounded by its line items).  The names are dealt out by
+    link first: lists of a few names each take more to move than the names.
     """
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     names = F.expr("listagg(p_name, ', ') WITHIN GROUP (ORDER BY p_name)")
     return (li.join(p, li.l_partkey == p.p_partkey)
-            .groupBy("l_orderkey")
-            .agg(names.alias("job_skills"))
-            .select(_link(F.col("l_orderkey")).alias("job_link"), "job_skills"))
+            .select(_link(F.col("l_orderkey")).alias("job_link"), "p_name")
+            .repartition("job_link")
+            .groupBy("job_link")
+            .agg(names.alias("job_skills")))
 
 
 def summary_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

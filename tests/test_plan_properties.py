@@ -124,3 +124,22 @@ def test_no_private_checkpoint_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session)
+
+
+def test_derived_sources_join_by_link_alone(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(fx.enriched(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # by link: orders, first parts, names, both uses of the documents' keys; the skill lists move no second time
+    assert plan.count("Exchange hashpartitioning(job_link") == 5
+    assert "Exchange hashpartitioning(o_orderkey" not in plan
+
+
+def test_labels_and_thresholds_read_the_written_groups(spark):
+    from demandlens.plans import mlprep
+
+    plan = _plan(mlprep.dataset(spark, SF_SMALL))
+    assert plan.count("FileScan parquet") == 2 and "l_orderkey" not in plan
