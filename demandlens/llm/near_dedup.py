@@ -15,9 +15,10 @@ more than the similarity allows are dropped; all others are confirmed on full se
 
 In a bucket pairs aren't all formed.  First every class is compared with the bucket's first.
 Then only buckets go on whose other classes are still in different components, cut into
-blocks of bounded size; a task compares the sketches of two blocks and gives each class its
-first ``FIRST`` partners of other components that the sketches leave open, in the next round
-``GROWTH`` times as many.  When no class has a partner left, pairs not compared in full are
+blocks (``blocks``); a task compares the sketches of two blocks and gives each class outside
+the bucket's largest component its ``FIRST`` most similar partners of other components that the
+sketches leave open.  Just classes with more go on, with the partners they have not been given, and get
+``GROWTH`` times as many in the next round.  When no class has a partner left, pairs not compared in full are
 inside one component already or excluded by their sketches, so the components are those of
 all links.  Links are joined to components by alternating large-star and small-star steps
 over written tables.
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from demandlens.llm import blocks
-from demandlens.llm.blocks import Test, deal, list_rows, open_members
+from demandlens.llm.blocks import Test, deal, list_rows, open_members, split_found
 from demandlens.llm.common import materialize, text_or_empty
 
 #: Words of a shingle.
@@ -52,7 +53,9 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS, SKETCH_WORDS = 1024, 16
 SKETCH_SAMPLES = 512
 DEVIATIONS = 5
-#: Classes of a block, partners that a class is given at first, and by how much more in each round.
+#: Allowed for the rounding of numbers of samples in doubles.
+ROUNDING = 1e-6
+#: Classes that are one block, partners that a class is given at first, and by how much more in each round.
 BLOCK, FIRST, GROWTH = 512, 2, 8
 SEED = 20_240_229
 #: Rows of ids (up to 60 bytes each) up to which such a table is broadcast; else it is a shuffle join.
@@ -183,12 +186,13 @@ def most_flips(total: Column, level: Column, percent: int) -> Column:
 
     Sets of similarity t differ in (1 - t) / (1 + t) of their samples.  To that is
     added the deviation of sampling (none at level 0, where the sample is the set),
-    and to the flips expected for it the deviation of bits that are hit twice.
+    and to the flips expected for it the deviation of bits that are hit twice.  There are
+    never more flips than samples that differ.
     """
     apart = (100 - percent) / (100 + percent)
     differ = apart * total + F.when(level > 0, DEVIATIONS * 0.5 * F.sqrt(total * apart)).otherwise(0.0)
     expected = SKETCH_BITS / 2 * (1 - F.exp(-2.0 * differ / SKETCH_BITS))
-    return expected + DEVIATIONS * differ / math.sqrt(SKETCH_BITS / 2) + 1
+    return F.least(expected + DEVIATIONS * differ / math.sqrt(SKETCH_BITS / 2) + 1, differ + ROUNDING)
 
 
 def may_reach(a: Column, b: Column, percent: int) -> Column:
@@ -265,14 +269,14 @@ def shared_buckets(nodes: DataFrame) -> DataFrame:
     return each.join(shared, "h").select("h", "node")
 
 
-def block_rows(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+def block_rows(members: DataFrame, labels: DataFrame, classes: DataFrame, waiting: DataFrame | None = None) -> DataFrame:
     """Rows of the open buckets with their sketches, dealt to pairs of blocks."""
-    rows = open_members(members, labels).join(classes.select("node", "sketch"), "node")
-    return deal(rows, F.ceil(F.col("c") / BLOCK))
+    rows = open_members(members, labels, waiting).join(classes.select("node", "sketch"), "node")
+    return deal(rows, F.lit(BLOCK))
 
 
 def partners(rows: DataFrame, percent: int, most: int) -> DataFrame:
-    """(a, b, more): partners that the odd sketches leave open (``blocks.partners``)."""
+    """Partners that the odd sketches leave open, and what waits (``blocks.partners``)."""
     apart = (100 - percent) / (100 + percent)
 
     def prepare(table: pa.Table) -> Test:
@@ -289,7 +293,8 @@ def partners(rows: DataFrame, percent: int, most: int) -> DataFrame:
             total = counts[others, up] + counts[x][own]
             differ = apart * total + np.where(common > 0, DEVIATIONS * 0.5 * np.sqrt(total * apart), 0.0)
             expected = SKETCH_BITS / 2 * (1 - np.exp(-2.0 * differ / SKETCH_BITS))
-            return near & (flips <= expected + DEVIATIONS * differ / math.sqrt(SKETCH_BITS / 2) + 1)
+            bound = np.minimum(expected + DEVIATIONS * differ / math.sqrt(SKETCH_BITS / 2) + 1, differ + ROUNDING)
+            return np.where(near, flips - bound, np.inf)
 
         return test
 
@@ -324,16 +329,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     pairs = members.where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b"))
     tested = materialize(likely(pairs, classes, percent), "near-pairs")
     labels = materialize(components(links_of(tested)), "near-labels")
-    most = FIRST
-    while True:
-        found = materialize(partners(block_rows(members, labels, classes), percent, most), "near-partners")
-        new = materialize(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "near-pairs")
+    most, waiting = FIRST, None
+    while waiting is None or not waiting.isEmpty():
+        found = materialize(partners(block_rows(members, labels, classes, waiting), percent, most), "near-partners")
+        given, waiting = split_found(found)
+        new = materialize(given.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         if not new.isEmpty():
             stars = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
             labels = materialize(components(stars.union(links_of(new))), "near-labels")
             tested = tested.union(new)
-        elif found.where("more").isEmpty():
-            break
         most *= GROWTH
     named = (nodes.select("key", "node").join(labels, "node", "left")
              .select(F.col("key").alias("__key"), F.coalesce("component", "node").alias("component")))

@@ -17,9 +17,10 @@ the words of its own band, and those of the next one if a set of that band is wi
 In a bucket pairs aren't all formed.  First every class is compared with the bucket's first,
 by sizes and a short sketch of ``SHORT_WORDS`` words, whose bound holds likewise.
 Then only buckets go on whose other classes are still in different components, cut into
-blocks of bounded size; a task compares the sketches of two blocks and gives each class its
-first ``FIRST`` partners of other components that the lower bound allows, in the next round
-``GROWTH`` times as many.  Every pair handed out is confirmed on the full sets.  When no
+blocks (``blocks``); a task compares the sketches of two blocks and gives each class outside
+the bucket's largest component its ``FIRST`` most similar partners of other components that the lower bound
+allows.  Just classes with more go on, with the partners they have not been given, and get
+``GROWTH`` times as many in the next round.  Every pair handed out is confirmed on the full sets.  When no
 class has a partner left, what hasn't been compared in full is inside one component already
 or excluded by the bound, so the components are those of all links.
 
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
 
 from demandlens.llm import blocks
-from demandlens.llm.blocks import TASK_ROWS, Test, deal, list_rows, open_members
+from demandlens.llm.blocks import TASK_ROWS, Test, deal, list_rows, open_members, split_found
 from demandlens.llm.common import materialize, text_or_empty
 from demandlens.llm.near_dedup import bounded, components, confirmed, full_sets, mixed, shingles
 
@@ -170,15 +171,15 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return out.where(sum(flips[1:], flips[0]) <= allowed(a_n + b_n, percent)).select("a", "b")
 
 
-def block_rows(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+def block_rows(members: DataFrame, labels: DataFrame, classes: DataFrame, waiting: DataFrame | None = None) -> DataFrame:
     """Rows of the open buckets with the words of the bucket's band, dealt to pairs of blocks."""
-    rows = open_members(members, labels).join(classes.select("node", "n", F.col("own").alias("w"), "up"), "node")
+    rows = open_members(members, labels, waiting).join(classes.select("node", "n", F.col("own").alias("w"), "up"), "node")
     rows = rows.withColumn("words", F.when(F.col("own"), F.col("w")).otherwise(F.col("up"))).drop("w", "up")
-    return deal(rows, F.ceil(F.col("c") * F.greatest(F.size("words"), F.lit(16)) / BLOCK_WORDS))
+    return deal(rows, BLOCK_WORDS / F.greatest(F.size("words"), F.lit(16)))
 
 
 def partners(rows: DataFrame, percent: int, most: int) -> DataFrame:
-    """(a, b, more): partners that sizes and sketches allow (``blocks.partners``)."""
+    """Partners that sizes and sketches allow, and what waits (``blocks.partners``)."""
     def prepare(table: pa.Table) -> Test:
         own, n = table.column("own").to_numpy(), table.column("n").to_numpy()
         starts, words = list_rows(table, "words")
@@ -186,7 +187,8 @@ def partners(rows: DataFrame, percent: int, most: int) -> DataFrame:
         def test(x: int, others: np.ndarray) -> np.ndarray:
             mine = words[starts[x]:starts[x + 1]]  # all of one bucket are of one band
             apart = np.bitwise_count(words[starts[others][:, None] + np.arange(len(mine))] ^ mine).sum(axis=1)
-            return (own[others] | own[x]) & (apart <= (n[others] + n[x]) * (100 - percent) // (100 + percent))
+            beyond = apart.astype(np.int64) - (n[others] + n[x]) * (100 - percent) // (100 + percent)
+            return np.where(own[others] | own[x], beyond, 1)
 
         return test
 
@@ -221,17 +223,16 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT, width: int =
         F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")).distinct(), "parity-firsts")
     tested = materialize(likely(pairs, classes, percent), "parity-pairs")
     labels = materialize(components(links_of(tested)), "parity-labels")
-    most = FIRST
-    while True:
-        found = materialize(partners(block_rows(members, labels, classes), percent, most), "parity-partners")
-        new = materialize(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "parity-pairs")
+    most, waiting = FIRST, None
+    while waiting is None or not waiting.isEmpty():
+        found = materialize(partners(block_rows(members, labels, classes, waiting), percent, most), "parity-partners")
+        given, waiting = split_found(found)
+        new = materialize(given.join(tested, ["a", "b"], "left_anti"), "parity-pairs")
         if not new.isEmpty():
             links = links_of(new)
             stars = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
             labels = materialize(components(stars.union(links)), "parity-labels")
             tested = tested.union(new)
-        elif found.where("more").isEmpty():
-            break
         most *= GROWTH
     named = nodes.select("key", "id", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = materialize(named, "parity-classed")
