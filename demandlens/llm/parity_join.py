@@ -4,14 +4,17 @@ A document's set holds the 64-bit hashes of its distinct shingles.  Documents wi
 sets form one class; all but the last step works on classes, so thousands of copies cost as
 much as one.  Sizes are cut into bands such that sets that reach the similarity are in one
 band or in neighbouring ones.  Two sets that reach it in a band differ in at most D shingles,
-D following from the band's greatest size.  A set's sketch has D + 1 words of 64 bits: every
-shingle flips one bit of one word.  The XOR of two sketches is the sketch of the symmetric
-difference, so
+D following from the band's greatest size.  A set's sketch has D + 1 words of 64 bits and one to
+spare for every ``SPARE`` of them: every shingle flips one bit of one word.  The XOR of two sketches
+is the sketch of the symmetric difference, so
 
 * its population count is never above the number of differing shingles: a lower bound;
-* with at most D differing shingles at least one of the D + 1 words is equal (pigeonhole).
+* with at most D differing shingles, of D + 1 + e words at least e + 1 are equal (pigeonhole).
 
-So (band, place, word) is the join key, and no pair of the similarity is missed.  A set has
+So (band, place, word) is the join key, and no pair of the similarity is missed.  Words of fewer
+than ``LOW_BITS`` bits are those that most sets share by chance.  A set with at most e of them leaves
+them out: of the e + 1 words equal with another set's one at least has more bits, and such words are
+keys of all sets.  Two sets that both have more than e keep all.  A set has
 the words of its own band, and those of the next one if a set of that band is within reach.
 
 In a bucket pairs aren't all formed.  First every class is compared with the bucket's first,
@@ -48,6 +51,8 @@ from demandlens.llm.near_dedup import bounded, components, confirmed, full_sets,
 PERCENT, WIDTH = 90, 3
 #: Words of the sketch that all sets have alike, for a first look at a pair.
 SHORT_WORDS = 16
+#: Words that a pair can't do without for each word to spare, and the bits from which a word is always a key.
+SPARE, LOW_BITS = 16, 3
 #: Words of sketches in a block; a block has as many classes as they allow.
 BLOCK_WORDS = 1 << 14
 #: Partners that a class is given at first, and by how much more in each round.
@@ -92,7 +97,8 @@ class Bands:
         return int(np.searchsorted(self.starts, size, "right")) - 1
 
     def words(self, band: int) -> int:
-        return most_apart(2 * (int(self.starts[band + 1]) - 1), self.percent) + 1
+        needed = most_apart(2 * (int(self.starts[band + 1]) - 1), self.percent) + 1
+        return needed + needed // SPARE
 
     def sketches(self, hashes: np.ndarray) -> tuple[int, np.ndarray, np.ndarray | None]:
         """A set's band, its sketch there, and its sketch in the next band if that is within reach."""
@@ -101,6 +107,14 @@ class Bands:
         return band, sketch(hashes, self.words(band)), sketch(hashes, self.words(band + 1)) if up else None
 
 
+def least_bits(words: np.ndarray | None) -> int | None:
+    """Bits from which a sketch's words are keys: ``LOW_BITS`` if it has no more words below than are to spare."""
+    if words is None:
+        return None
+    spare = len(words) // (SPARE + 1)
+    return LOW_BITS if np.count_nonzero(np.bitwise_count(words.view(np.uint64)) < LOW_BITS) <= spare else 0
+
+
 def digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
@@ -110,7 +124,7 @@ def signatures(docs: DataFrame, percent: int, width: int, id_col: str, text_col:
     docs = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("__text"))
     schema, longs = StructType([docs.schema["doc_id"]]), ArrayType(LongType())
     for name, kind in (("n", LongType()), ("key", BinaryType()), ("band", IntegerType()), ("own", longs), ("up", longs),
-                       ("short", longs)):
+                       ("short", longs), ("own_bits", IntegerType()), ("up_bits", IntegerType())):
         schema = schema.add(name, kind)
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,14 +143,16 @@ def signatures(docs: DataFrame, percent: int, width: int, id_col: str, text_col:
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(places, pa.int32()),
-                 pa.array(own, lists), pa.array(up, lists), pa.array(short, lists)], names=schema.names)
+                 pa.array(own, lists), pa.array(up, lists), pa.array(short, lists),
+                 *[pa.array(list(map(least_bits, s)), pa.int32()) for s in (own, up)]], names=schema.names)
 
     return docs.mapInArrow(sign, schema)
 
 
 def word_keys(words: str, band: Column) -> Column:
-    """Join keys of a sketch: a hash of band, place and word."""
-    return F.transform(words, lambda w, i: F.xxhash64(band, i, w))
+    """Join keys of a sketch: a hash of band, place and word of the words that have enough bits."""
+    keys = F.transform(words, lambda w, i: F.when(F.bit_count(w) >= F.col(f"{words}_bits"), F.xxhash64(band, i, w)))
+    return F.filter(keys, lambda k: k.isNotNull())
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
@@ -173,9 +189,15 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def block_rows(members: DataFrame, labels: DataFrame, classes: DataFrame, waiting: DataFrame | None = None) -> DataFrame:
     """Rows of the open buckets with the words of the bucket's band, dealt to pairs of blocks."""
-    rows = open_members(members, labels, waiting).join(classes.select("node", "n", F.col("own").alias("w"), "up"), "node")
-    rows = rows.withColumn("words", F.when(F.col("own"), F.col("w")).otherwise(F.col("up"))).drop("w", "up")
-    return deal(rows, BLOCK_WORDS / F.greatest(F.size("words"), F.lit(16)))
+    rows = open_members(members, labels, waiting)
+    met = materialize(rows.select("node").distinct(), "parity-met")
+    side = classes.select("node", "n", F.col("own").alias("w"), "up", F.size("own").alias("w_size"), F.size("up").alias("up_size"))
+    rows = rows.join(materialize(side.join(bounded(met), "node", "left_semi"), "parity-open"), "node")
+    # sizes on their own, so that counting the rows moves no words
+    rows = rows.withColumns({"words": F.when(F.col("own"), F.col("w")).otherwise(F.col("up")),
+                             "size": F.when(F.col("own"), F.col("w_size")).otherwise(F.col("up_size"))})
+    rows = deal(rows.drop("w", "up", "w_size", "up_size"), BLOCK_WORDS / F.greatest("size", F.lit(16)))
+    return rows.drop("size")
 
 
 def partners(rows: DataFrame, percent: int, most: int) -> DataFrame:
@@ -205,11 +227,11 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT, width: int =
     nodes = materialize(
         rows.where("n > 0").groupBy("key")
         .agg(F.min("doc_id").alias("id"), F.count("*").alias("rows"),
-             *[F.first(c).alias(c) for c in ("n", "band", "own", "up", "short")])
+             *[F.first(c).alias(c) for c in ("n", "band", "own", "up", "short", "own_bits", "up_bits")])
         .withColumn("node", F.monotonically_increasing_id()), "parity-nodes")
     members = materialize(bucket_members(nodes), "parity-members")
     met = materialize(members.select("node").distinct(), "parity-met")
-    classes = materialize(nodes.join(bounded(met), "node", "left_semi"), "parity-classes")
+    classes = materialize(nodes.drop("own_bits", "up_bits").join(bounded(met), "node", "left_semi"), "parity-classes")
 
     def links_of(pairs: DataFrame) -> DataFrame:
         """The confirmed pairs, by the sets of just the classes in them."""
