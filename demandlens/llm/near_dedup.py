@@ -271,8 +271,9 @@ def shared_buckets(nodes: DataFrame) -> DataFrame:
 
 def block_rows(members: DataFrame, labels: DataFrame, classes: DataFrame, waiting: DataFrame | None = None) -> DataFrame:
     """Rows of the open buckets with their sketches, dealt to pairs of blocks."""
-    rows = open_members(members, labels, waiting).join(classes.select("node", "sketch"), "node")
-    return deal(rows, F.lit(BLOCK))
+    rows = open_members(members, labels, waiting)
+    met = materialize(rows.select("node").distinct(), "near-met")
+    return deal(rows.join(classes.select("node", "sketch").join(bounded(met), "node", "left_semi"), "node"), F.lit(BLOCK))
 
 
 def partners(rows: DataFrame, percent: int, most: int) -> DataFrame:
