@@ -16,6 +16,16 @@ def test_explode_literal_separator(spark):
     assert [r.skill for r in explode_list(df, sep="|", keep=["job_link"]).collect()] == ["a", "b.c"]
 
 
+def test_explode_splits_by_a_plain_sign_and_never_by_a_pattern(spark):
+    df = spark.createDataFrame([(1, "q")], "job_link int, job_skills string")
+    for sep in (",", "|", ".", "\\", "\t", "-", "^", "$", "a", "1", "||", ".*", "é"):
+        lists = df.select("job_link", F.lit(f"x{sep}y z{sep}{sep}Q").alias("job_skills"))
+        exploded = explode_list(lists, sep=sep, keep=["job_link"])
+        assert [r.skill for r in exploded.collect()] == ["x", "y z", "Q"], sep
+    # a quoted pattern is compiled anew for every row; a single escaped sign is not
+    assert "\\Q" not in explode_list(df)._jdf.queryExecution().toString()
+
+
 def test_counts_by_sentinel_only_on_named_columns(spark):
     df = spark.createDataFrame(
         [("p", "c1", "unknown"), ("p", "c2", "x"), ("unknown", "c1", "x")],
