@@ -223,3 +223,43 @@ def test_searches_of_all_classifiers_run_side_by_side(spark, monkeypatch):
     for got in run.all_tuned():
         assert got.points == alone[got.name].points and got.scores == alone[got.name].scores
     run.close()
+
+
+def test_vectors_start_at_their_checkpoint(spark):
+    """No stage of a fit takes the scan, the joins and the feature stages of its rows along."""
+    prepared = mdl.prepare(small_set(spark).drop("split"))
+    for rows in [prepared.whole.train, *[df for part in prepared.folds for df in (part.train, part.valid)]]:
+        lineage = rows._jdf.queryExecution().toRdd().toDebugString()
+        assert "ReliableCheckpointRDD" in lineage and "FileScanRDD" not in lineage
+        assert slot_names(rows)  # the slots' attributes stay
+    prepared.close()
+
+
+def test_models_are_saved_side_by_side(spark, run, monkeypatch):
+    import threading
+
+    together, one = threading.Barrier(len(mdl.MODEL_NAMES)), mlplan.Run.model
+
+    def model(self, name):
+        together.wait(60)
+        return one(self, name)
+
+    monkeypatch.setattr(mlplan.Run, "model", model)
+    assert list(run.models()) == list(mdl.MODEL_NAMES)
+
+
+@pytest.mark.parametrize("name", ["rf", "gbt"])
+def test_trees_are_wrapped_on_demand_only(spark, name):
+    """The fit is MLlib's own; no tree crosses to Python unless asked for."""
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+
+    rows = Pipeline(stages=feature_stages()).fit(small_set(spark)).transform(small_set(spark)).coalesce(1)
+    io = {"labelCol": LABEL, "featuresCol": ASSEMBLED}
+    params = {"numTrees": 4, "maxDepth": 3} if name == "rf" else {"maxIter": 3, "maxDepth": 2}
+    model = mdl.with_params(mdl.CLASSIFIERS[name].make(**io), params).fit(rows)
+    copied = mdl.with_params(model, {"predictionCol": "p"})
+    copied.transform(rows)
+    assert "trees" not in model.__dict__ and "trees" not in copied.__dict__
+    plain = {"rf": RandomForestClassifier, "gbt": GBTClassifier}[name](seed=mdl.SEED, **io, **params).fit(rows)
+    assert model.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:]
+    assert [t.toDebugString.split("\n")[1:] for t in model.trees] == [t.toDebugString.split("\n")[1:] for t in plain.trees]
